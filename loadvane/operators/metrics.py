@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from loadvane.functions.timefn import seconds_between
 from loadvane.operators.rolling import rolling_means, rolling_median
+from loadvane.session import settle
 
 METRICS = ["mse", "rmse", "mae", "mape", "mdape", "smape", "coverage"]
 NEAR_ZERO = 1e-8
@@ -85,6 +86,8 @@ def performance_metrics(
         raise ValueError(f"valid metrics are {METRICS}")
     if not {"yhat_lower", "yhat_upper"} <= set(df.columns):
         chosen = [m for m in chosen if m != "coverage"]
+    used = [c for c in ("ds", "cutoff", "y", "yhat", "yhat_lower", "yhat_upper") if c in df.columns]
+    df = settle(df.select(*used), "cross-validation")
     rows, smallest = df.agg(F.count(F.lit(1)), F.min(F.abs("y"))).first()
     if smallest is not None and smallest < NEAR_ZERO:
         chosen = [m for m in chosen if m != "mape"]

@@ -21,10 +21,11 @@ def exact_quantiles(
     """One row per key: linearly interpolated quantiles, named by ``probabilities``.
 
     A sketch of bounded size first brackets every quantile to a sliver of its group's
-    ranks (ten times the sketch's guaranteed error on each side). Rows below a bracket
-    are only counted, before the shuffle; rows above are skipped; the sliver is grouped
-    by value and ranked exactly. No task holds a group, and the result does not depend
-    on the sketch: a rank outside its bracket stops the job instead of answering wrongly.
+    ranks (ten times the sketch's guaranteed error on each side); a group of a few
+    thousand rows is its own bracket. Rows below a bracket are only counted, before the
+    shuffle; rows above are skipped; the sliver is grouped by value and ranked exactly.
+    No task holds a large group, and the result does not depend on the sketch: a rank
+    outside its bracket stops the job instead of answering wrongly.
 
     ``few_keys=True`` says the keys are bounded by construction (calendar parts), so the
     sketches may be broadcast. Null values and null keys take no part.
@@ -39,8 +40,12 @@ def exact_quantiles(
     if not keys:
         rows = rows.withColumn("everything", F.lit(0))
 
-    sketch = rows.groupBy(*group).agg(
-        F.count("v").alias("n"), F.percentile_approx("v", bounds, accuracy).alias("cuts")
+    # the slack must span some ranks, which it does not in a small group
+    wide_enough = F.col("n") * slack >= 2
+    sketch = (
+        rows.groupBy(*group)
+        .agg(F.count("v").alias("n"), F.percentile_approx("v", bounds, accuracy).alias("cuts"))
+        .withColumn("cuts", F.when(wide_enough, F.col("cuts")))
     )
     if few_keys or not keys:
         sketch = F.broadcast(sketch)
@@ -59,8 +64,11 @@ def exact_quantiles(
     counted = (
         rows.join(sketch, group)
         .select(*group, "n", "v", F.explode(wanted).alias("q"))
-        .filter(F.col("v") <= F.col("q.high"))
-        .select(*group, "n", "q.name", "q.p", F.when(F.col("v") >= F.col("q.low"), F.col("v")).alias("v"))
+        .filter(F.col("q.high").isNull() | (F.col("v") <= F.col("q.high")))
+        .select(
+            *group, "n", "q.name", "q.p",
+            F.when(F.col("q.low").isNull() | (F.col("v") >= F.col("q.low")), F.col("v")).alias("v"),
+        )
         .groupBy(*group, "n", "name", "p", "v")
         .agg(F.count(F.lit(1)).alias("c"))
         .withColumn("upto", F.sum("c").over(ranked.rowsBetween(Window.unboundedPreceding, 0)))

@@ -6,6 +6,7 @@ with fewer than ``w`` points up to and including them give no row.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -14,14 +15,17 @@ from pyspark.sql import functions as F
 from loadvane.functions.timefn import epoch_micros
 from loadvane.operators.ordered import AXIS_BLOCKS, axis_block, lookup_on_axis, running_totals, with_position
 from loadvane.operators.quantiles import exact_quantiles
+from loadvane.session import settle
 
 
-def _blocked(per_horizon: DataFrame) -> DataFrame:
-    """Add the slice of the horizon axis a horizon falls in."""
-    ends = per_horizon.agg(F.min("horizon").alias("low"), F.max("horizon").alias("high"))
-    return per_horizon.withColumn(
-        "h_block", axis_block("horizon", ends.select("low").scalar(), ends.select("high").scalar())
-    )
+def _axis(per_horizon: DataFrame, counts: Sequence[str]) -> tuple[DataFrame, int]:
+    """The table with the slice of the horizon axis of each row, and the total of its counts."""
+    low, high, *totals = per_horizon.agg(
+        F.min("horizon"), F.max("horizon"), *[F.sum(c) for c in counts]
+    ).first()
+    if low is None:
+        return per_horizon.withColumn("h_block", F.lit(0)), 0
+    return per_horizon.withColumn("h_block", axis_block("horizon", F.lit(low), F.lit(high))), max(totals)
 
 
 def rolling_means(df: DataFrame, measures: dict[str, Column], w: int) -> DataFrame:
@@ -37,8 +41,10 @@ def rolling_means(df: DataFrame, measures: dict[str, Column], w: int) -> DataFra
         *[F.sum(c.cast("double")).alias(f"sum_{m}") for m, c in measures.items()],
         *[F.count(c).alias(f"n_{m}") for m, c in measures.items()],
     )
-    long = per_horizon.select(
+    sliced, points = _axis(settle(per_horizon, "per-horizon"), [f"n_{m}" for m in names])
+    long = sliced.select(
         "horizon",
+        "h_block",
         F.explode(
             F.array(
                 *[
@@ -47,8 +53,8 @@ def rolling_means(df: DataFrame, measures: dict[str, Column], w: int) -> DataFra
                 ]
             )
         ).alias("cell"),
-    ).select("horizon", "cell.*").filter(F.col("n") > 0)
-    totals = running_totals(_blocked(long), ["metric"], "h_block", ["horizon"], ["x", "n"])
+    ).select("horizon", "h_block", "cell.*").filter(F.col("n") > 0)
+    totals = running_totals(long, ["metric"], "h_block", ["horizon"], ["x", "n"])
     curve = totals.select(
         "metric",
         (F.col("cum_n") - F.col("n")).cast("double").alias("n_from"),
@@ -60,7 +66,7 @@ def rolling_means(df: DataFrame, measures: dict[str, Column], w: int) -> DataFra
         "metric", "horizon", "cum_x", (F.col("cum_n") - w).cast("double").alias("left_edge")
     )
     # positions are counts of rows, so equal slices of this axis hold equal numbers of rows
-    slice_width = F.greatest(totals.agg(F.max("cum_n").alias("n")).scalar() / AXIS_BLOCKS, F.lit(1.0))
+    slice_width = F.lit(max(points / AXIS_BLOCKS, 1.0))
     found = lookup_on_axis(
         asked, "left_edge", curve, "n_from", "n_to", ["n_from", "x_from", "rate"], slice_width, keys=["metric"]
     )
@@ -78,37 +84,33 @@ def rolling_median(df: DataFrame, measure: Column, name: str, w: int, order: Seq
     come from per-block counts; only the points of the topped-up part meet other
     horizons, in an equi-join on slices of the position axis.
     """
-    first = order[0]
-    points = df.select("horizon", *order, measure.cast("double").alias("x"))
-    counts = points.groupBy("horizon").agg(F.count(F.lit(1)).alias("n"))
-    totals = running_totals(_blocked(counts), [], "h_block", ["horizon"], ["n"]).filter(F.col("cum_n") >= w)
-    own = points.join(totals.select("horizon"), "horizon").select("horizon", "x")
+    points = settle(df.select("horizon", *order, measure.cast("double").alias("x")), "horizon-points")
+    per_horizon = points.groupBy("horizon").agg(F.count(F.lit(1)).alias("n"))
+    sliced, rows = _axis(settle(per_horizon, "per-horizon"), ["n"])
+    totals = running_totals(sliced, [], "h_block", ["horizon"], ["n"])
+    answered = totals.filter(F.col("cum_n") >= w)
+    own = points.join(answered.select("horizon"), "horizon").select("horizon", "x")
 
-    # windows that reach back: positions [cum_n - w, cum_n - n), zero-based
-    short = totals.filter(F.col("n") < w).select(
+    # windows that reach back: zero-based positions from cum_n - w up to their own first point
+    width = max(math.ceil(rows / AXIS_BLOCKS), 1)
+    reaching = answered.filter(F.col("n") < w).select(
         F.col("horizon").alias("window"),
         (F.col("cum_n") - w).alias("reach_from"),
         (F.col("cum_n") - F.col("n")).alias("reach_to"),
+    ).withColumn(
+        "slice",
+        F.explode(F.sequence(F.floor(F.col("reach_from") / width), F.floor((F.col("reach_to") - 1) / width))),
     )
-    all_totals = running_totals(_blocked(counts), [], "h_block", ["horizon"], ["n"])
-    width = F.greatest(
-        F.ceil(counts.agg(F.sum("n").alias("n")).scalar() / AXIS_BLOCKS), F.lit(1)
-    )
-    inside = with_position(
-        points.withColumn("o_block", F.floor(epoch_micros(first) / (86_400 * 1_000_000))),
+    placed = with_position(
+        points.withColumn("day_block", F.floor(epoch_micros(order[0]) / (86_400 * 1_000_000))),
         ["horizon"],
-        "o_block",
+        "day_block",
         [*order, "x"],
         name="place",
-    )
-    placed = inside.join(all_totals.select("horizon", (F.col("cum_n") - F.col("n")).alias("rows_ahead")), "horizon").select(
-        "x", (F.col("rows_ahead") + F.col("place")).alias("position")
-    )
-    reaching = short.withColumn(
-        "slice", F.explode(F.sequence(F.floor(F.col("reach_from") / width), F.floor((F.col("reach_to") - 1) / width)))
-    )
+    ).join(totals.select("horizon", (F.col("cum_n") - F.col("n")).alias("rows_ahead")), "horizon")
     topped = (
-        placed.withColumn("slice", F.floor(F.col("position") / width))
+        placed.select("x", (F.col("rows_ahead") + F.col("place")).alias("position"))
+        .withColumn("slice", F.floor(F.col("position") / width))
         .join(reaching, "slice")
         .filter((F.col("position") >= F.col("reach_from")) & (F.col("position") < F.col("reach_to")))
         .select(F.col("window").alias("horizon"), "x")

@@ -19,7 +19,7 @@ from loadvane.plans.training import FEATURES, make_features
 def hourly_forecast(
     forecasts: DataFrame, start: datetime | str, zone: str = MOUNTAIN, keys: Sequence[str] = (), method: str = "cubic"
 ) -> DataFrame:
-    """Hourly temperature on the local clock, as it was forecast at local time ``start``."""
+    """Hourly temperature as it was forecast at local time ``start``, on both clocks."""
     as_of = to_instant(ntz_literal(start), zone)
     known = forecast_as_of(
         forecasts.withColumns(
@@ -29,7 +29,9 @@ def hourly_forecast(
         keys,
     )
     hourly = upsample(known, keys, "forecast_time", "temp_F", method=method)
-    return hourly.select(*keys, to_local("forecast_time", zone).alias("energy_timestamp_mtn"), "temp_F")
+    return hourly.select(
+        *keys, "forecast_time", to_local("forecast_time", zone).alias("energy_timestamp_mtn"), "temp_F"
+    )
 
 
 def prediction_frame(
@@ -41,10 +43,10 @@ def prediction_frame(
     predicted: str = "predicted",
     keys: Sequence[str] = (),
 ) -> DataFrame:
-    """The stored columns: local times become instants, the run and its times are constants."""
+    """The stored columns: times as instants, the run and its times as constants."""
     return scored.select(
         *keys,
-        to_instant("energy_timestamp_mtn", zone).alias("energy_timestamp_mtn"),
+        F.col("forecast_time").cast("timestamp").alias("energy_timestamp_mtn"),
         F.col(predicted).alias("predicted_energy_demand"),
         F.col("temp_F").cast("double").alias("temp_f_forecast"),
         F.lit(run_id).alias("model_version"),

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import shutil
 import tempfile
 import uuid
 
@@ -55,6 +56,17 @@ def fresh_dir(spark: SparkSession, label: str) -> str:
     return os.path.join(shared_dir(spark), f"{label}-{uuid.uuid4().hex}")
 
 
+def settle(df: DataFrame, label: str) -> DataFrame:
+    """Write an expensive intermediate to the shared folder and go on from the stored copy.
+
+    Later steps read it several times without repeating its lineage, plan with its real
+    size, and survive lost executors.
+    """
+    path = fresh_dir(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def broadcast_if_small(df: DataFrame, max_rows: int = 100_000) -> DataFrame:
     """Hint a broadcast only after counting that ``df`` has at most ``max_rows`` rows.
 
@@ -64,3 +76,18 @@ def broadcast_if_small(df: DataFrame, max_rows: int = 100_000) -> DataFrame:
     if df.limit(max_rows + 1).count() <= max_rows:
         return F.broadcast(df)
     return df
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the Python workers, as ``--py-files`` would."""
+    context = spark.sparkContext
+    if any(name.startswith("loadvane-") for name in map(os.path.basename, context._python_includes)):
+        return
+    source = os.path.dirname(os.path.abspath(__file__))
+    archive = shutil.make_archive(
+        os.path.join(tempfile.mkdtemp(prefix="loadvane-code-"), f"loadvane-{uuid.uuid4().hex[:8]}"),
+        "zip",
+        os.path.dirname(source),
+        os.path.basename(source),
+    )
+    context.addPyFile(archive)

@@ -18,8 +18,8 @@ from loadvane.functions.timefn import parse_compact_hour, parse_epoch, parse_iso
 HOUR_STAMP = r"(\d{4}-\d{2}-\d{2}-\d{2})"
 
 
-def _documents(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    return spark.read.option("recursiveFileLookup", "true").text(path, wholetext=True)
+def _documents(spark: SparkSession, path: str | list[str], wholetext: bool = True) -> DataFrame:
+    return spark.read.option("recursiveFileLookup", "true").text(path, wholetext=wholetext)
 
 
 # Demand series JSON
@@ -119,13 +119,16 @@ def read_live_weather(spark: SparkSession, path: str | list[str]) -> DataFrame:
     return parse_live_weather(_documents(spark, path))
 
 
-def reprocess_live_weather(spark: SparkSession, path: str, start: datetime, end: datetime) -> DataFrame:
+def reprocess_live_weather(
+    spark: SparkSession, path: str, start: datetime, end: datetime, wholetext: bool = True
+) -> DataFrame:
     """Re-extract the raw documents landed in the closed range of hours under today's schema.
 
     The hour stamp is part of each file's path, so other files are not opened.
+    ``wholetext=False`` reads one document per line.
     """
     stamp = F.regexp_extract(F.col("_metadata.file_path"), HOUR_STAMP, 1)
-    raw = _documents(spark, path).select("value", stamp.alias("landed"))
+    raw = _documents(spark, path, wholetext).select("value", stamp.alias("landed"))
     first, last = (moment.strftime("%Y-%m-%d-%H") for moment in (start, end))
     return parse_live_weather(raw.filter(F.col("landed").between(first, last)), keep=("landed",))
 

@@ -13,11 +13,16 @@ from loadvane.sources.lake import conform
 LATENESS = "30 days"
 
 
-def live_observations(spark: SparkSession, raw: str, lateness: str = LATENESS, files_per_batch: int = 1000) -> DataFrame:
-    """Stream of typed observations from raw JSON files, repeats of a place and time dropped."""
+def live_observations(
+    spark: SparkSession, raw: str, lateness: str = LATENESS, files_per_batch: int = 1000, wholetext: bool = True
+) -> DataFrame:
+    """Stream of typed observations from raw JSON files, repeats of a place and time dropped.
+
+    ``wholetext=False`` reads one document per line instead of one per file.
+    """
     landed = (
         spark.readStream.format("text")
-        .option("wholetext", "true")
+        .option("wholetext", str(wholetext).lower())
         .option("recursiveFileLookup", "true")
         .option("maxFilesPerTrigger", files_per_batch)
         .load(raw)
@@ -30,11 +35,11 @@ def live_observations(spark: SparkSession, raw: str, lateness: str = LATENESS, f
 
 
 def land_live_weather(
-    spark: SparkSession, raw: str, out: str, checkpoint: str, lateness: str = LATENESS
+    spark: SparkSession, raw: str, out: str, checkpoint: str, lateness: str = LATENESS, wholetext: bool = True
 ) -> StreamingQuery:
     """Append every file landed so far exactly once, then stop; run again for later files."""
     return (
-        live_observations(spark, raw, lateness)
+        live_observations(spark, raw, lateness, wholetext=wholetext)
         .writeStream.format("parquet")
         .option("path", out)
         .option("checkpointLocation", checkpoint)
