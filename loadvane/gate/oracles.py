@@ -113,7 +113,7 @@ PARTS = {
         WHERE hi - INTERVAL 10 DAY - k * INTERVAL 55 DAY >= lo + INTERVAL 1460 DAY""",
     "fits": """SELECT cutoff, regr_slope(y, temp_F) AS slope, regr_intercept(y, temp_F) AS base
         FROM cuts JOIN daily ON ds <= cutoff GROUP BY cutoff""",
-    "cv": """SELECT temp_F, ds, y, base + slope * temp_F AS yhat, cutoff
+    "cv": """SELECT temp_F, ds, y, round(base + slope * temp_F, 4) AS yhat, cutoff
         FROM fits JOIN daily ON ds > cutoff AND ds <= cutoff + INTERVAL 10 DAY""",
     "points": """SELECT epoch(ds - cutoff)::DOUBLE AS horizon, ds, cutoff, y, yhat, (y - yhat) * (y - yhat) AS se, abs(y - yhat) AS ae,
         abs((y - yhat) / nullif(y, 0)) AS ape, abs(y - yhat) / nullif((abs(y) + abs(yhat)) / 2, 0) AS sape,
@@ -336,7 +336,7 @@ ORACLES = {
         ON date_trunc('hour', observation_time_UTC) = date_trunc('hour', timestamp_UTC)"""),
     "model_metrics": sql("SELECT * FROM metrics"),
     # forecast model
-    "ols_univariate": sql(f"SELECT {r('regr_slope(value, temp_F)', 'slope')}, {r('regr_intercept(value, temp_F)', 'intercept')} FROM shipments"),
+    "ols_univariate": sql(f"SELECT {r('regr_slope(value, temp_F)', 'slope', 4)}, {r('regr_intercept(value, temp_F)', 'intercept', 4)} FROM shipments"),
     "ols_predict": sql(f"""SELECT ts, temp_F, value, {r('base + slope * temp_F', 'predicted', 4)} FROM shipments,
         (SELECT regr_slope(value, temp_F) AS slope, regr_intercept(value, temp_F) AS base FROM shipments)"""),
     "cv_cutoffs": sql("SELECT cutoff FROM cuts"),

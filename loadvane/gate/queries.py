@@ -84,7 +84,8 @@ def metric_rows(t: Tables) -> DataFrame:
 
 
 def cv_rows(t: Tables) -> DataFrame:
-    return regression.cross_validate(t.daily_demand(), "ds", ["temp_F"], "y", **CV)
+    folds = regression.cross_validate(t.daily_demand(), "ds", ["temp_F"], "y", **CV)
+    return folds.withColumn("yhat", F.round("yhat", 4))
 
 
 def bounded_cv(t: Tables) -> DataFrame:
@@ -488,22 +489,24 @@ def model_metrics(t):
 @query
 def ols_univariate(t):
     model = regression.fit_ols(t.shipments(), ["temp_F"], "value")
-    fitted = regression.coefficients(model, ["temp_F"])
-    return t.spark.createDataFrame([(fitted["temp_F"], fitted["intercept"])], "slope double, intercept double")
+    fitted = [(model.coefficients[0], model.intercept)]
+    pair = t.spark.createDataFrame(fitted, "slope double, intercept double")
+    return pair.select(F.round("slope", 4).alias("slope"), F.round("intercept", 4).alias("intercept"))
 
 
 @query
 def ols_full(t):
     rows = featured_daily(t)
-    fitted = regression.coefficients(regression.fit_ols(rows, training.FEATURES, "y"), training.FEATURES)
-    return t.spark.createDataFrame(list(fitted.items()), "feature string, coefficient double")
+    model = regression.fit_ols(rows, training.FEATURES, "y")
+    fitted = [("intercept", model.intercept), *zip(model.features, model.coefficients)]
+    return t.spark.createDataFrame(fitted, "feature string, coefficient double")
 
 
 @query
 def ols_predict(t):
     rows = t.shipments()
     model = regression.fit_ols(rows, ["temp_F"], "value")
-    return regression.predict(model, rows, ["temp_F"]).select(
+    return model.predict(rows).select(
         "ts", "temp_F", "value", F.round("predicted", 4).alias("predicted")
     )
 
@@ -547,16 +550,16 @@ def best_run(t):
 def model_roundtrip(t):
     rows = featured_daily(t)
     root = fresh_dir(t.spark, "models")
-    training.save_model(regression.fit_ols(rows, training.FEATURES, "y"), root, RUN)
-    loaded = training.load_model(root, RUN)
-    return regression.predict(loaded, rows, training.FEATURES).select("ds", "y", "predicted")
+    training.save_model(t.spark, regression.fit_ols(rows, training.FEATURES, "y"), root, RUN)
+    loaded = training.load_model(t.spark, root, RUN)
+    return loaded.predict(rows).select("ds", "y", "predicted")
 
 
 @query
 def prediction_frame(t):
     model = regression.fit_ols(t.shipments(), ["temp_F"], "value")
     rows = t.newest_forecast()
-    scored = regression.predict(model, rows, ["temp_F"])
+    scored = model.predict(rows)
     framed = prediction.prediction_frame(scored, RUN, AS_OF, "2024-01-15 06:00:00", keys=["lat", "lon"])
     return framed.withColumn("predicted_energy_demand", F.round("predicted_energy_demand", 4))
 
@@ -565,9 +568,9 @@ def prediction_frame(t):
 def batch_predict(t):
     rows = featured_daily(t)
     root = fresh_dir(t.spark, "models")
-    training.save_model(regression.fit_ols(rows, training.FEATURES, "y"), root, RUN)
+    training.save_model(t.spark, regression.fit_ols(rows, training.FEATURES, "y"), root, RUN)
     predicted = prediction.batch_predict(
-        t.forecasts(), training.load_model(root, RUN), RUN, AS_OF, "2024-01-15 06:00:00", keys=["lat", "lon"]
+        t.forecasts(), training.load_model(t.spark, root, RUN), RUN, AS_OF, "2024-01-15 06:00:00", keys=["lat", "lon"]
     )
     name, path = _table(t, "predictions")
     lake.publish_append(predicted, name, path)

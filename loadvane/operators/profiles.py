@@ -16,11 +16,10 @@ def profile(
     df: DataFrame, by: dict[str, Column], value: str, few_keys: bool = True
 ) -> DataFrame:
     """Mean, 10th and 90th percentile of ``value`` per key; set ``few_keys=False`` for measured keys."""
-    keyed = df.select(*[c.alias(k) for k, c in by.items()], F.col(value).alias("measured")).na.drop()
-    keys = list(by)
-    means = keyed.groupBy(*keys).agg(F.avg("measured").alias("mean"))
-    bands = exact_quantiles(keyed, keys, "measured", {"p10": 0.1, "p90": 0.9}, few_keys=few_keys)
-    return means.join(bands, keys)
+    keyed = df.select(*[c.alias(k) for k, c in by.items()], F.col(value).alias("measured"))
+    return exact_quantiles(
+        keyed, list(by), "measured", {"p10": 0.1, "p90": 0.9}, few_keys, extras={"mean": F.avg("v")}
+    )
 
 
 def mean_by(df: DataFrame, by: dict[str, Column], value: str) -> DataFrame:
@@ -55,15 +54,15 @@ def describe(df: DataFrame, columns: Sequence[str]) -> DataFrame:
             F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("v")) for c in columns])
         ).alias("cell")
     ).select("cell.*")
-    moments = long.groupBy("column").agg(
-        F.count("v").alias("count"),
-        F.avg("v").alias("mean"),
-        F.stddev_samp("v").alias("std"),
-        F.min("v").alias("min"),
-        F.max("v").alias("max"),
-    )
-    quartiles = exact_quantiles(long, ["column"], "v", {"p25": 0.25, "p50": 0.5, "p75": 0.75}, few_keys=True)
-    return moments.join(quartiles, "column", "left").select(
+    moments = {
+        "count": F.count("v"),
+        "mean": F.avg("v"),
+        "std": F.stddev_samp("v"),
+        "min": F.min("v"),
+        "max": F.max("v"),
+    }
+    quartiles = {"p25": 0.25, "p50": 0.5, "p75": 0.75}
+    return exact_quantiles(long, ["column"], "v", quartiles, few_keys=True, extras=moments).select(
         "column", "count", "mean", "std", "min", "p25", "p50", "p75", "max"
     )
 

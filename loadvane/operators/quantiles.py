@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 ACCURACY = 10_000
+# Bracket half-widths as shares of a group's ranks, tightest first; all far beyond the sketch's error.
+SLACKS = (10 / ACCURACY, 100 / ACCURACY)
 
 
 def exact_quantiles(
@@ -16,80 +18,88 @@ def exact_quantiles(
     value: str,
     probabilities: dict[str, float],
     few_keys: bool = False,
-    accuracy: int = ACCURACY,
+    extras: dict[str, Column] | None = None,
 ) -> DataFrame:
     """One row per key: linearly interpolated quantiles, named by ``probabilities``.
 
     A sketch of bounded size first brackets every quantile to a sliver of its group's
-    ranks (ten times the sketch's guaranteed error on each side); a group of a few
-    thousand rows is its own bracket. Rows below a bracket are only counted, before the
-    shuffle; rows above are skipped; the sliver is grouped by value and ranked exactly.
-    No task holds a large group, and the result does not depend on the sketch: a rank
-    outside its bracket stops the job instead of answering wrongly.
+    ranks, at least ten times the sketch's guaranteed error on each side; a group of a
+    few hundred rows is its own bracket. Rows below a bracket are only counted, before
+    the shuffle; rows above are skipped; the sliver is grouped by value and ranked
+    exactly. No task holds a large group, and the result does not depend on the sketch:
+    a rank outside its bracket stops the job instead of answering wrongly.
 
     ``few_keys=True`` says the keys are bounded by construction (calendar parts), so the
-    sketches may be broadcast. Null values and null keys take no part.
+    sketches may be broadcast. ``extras`` are further aggregates of the value, named
+    ``v``, taken in the same pass as the sketch. Null values and null keys take no part.
     """
-    keys = list(keys)
-    names = list(probabilities)
-    slack = 10 / accuracy
-    bounds = [b for p in probabilities.values() for b in (max(p - slack, 0.0), min(p + slack, 1.0))]
+    keys, extras = list(keys), extras or {}
     rows = df.select(*keys, F.col(value).cast("double").alias("v")).na.drop()
     # one constant key makes the ungrouped case the same plan
     group = keys or ["everything"]
     if not keys:
         rows = rows.withColumn("everything", F.lit(0))
 
-    # the slack must span some ranks, which it does not in a small group
-    wide_enough = F.col("n") * slack >= 2
-    sketch = (
-        rows.groupBy(*group)
-        .agg(F.count("v").alias("n"), F.percentile_approx("v", bounds, accuracy).alias("cuts"))
-        .withColumn("cuts", F.when(wide_enough, F.col("cuts")))
+    bounds = [
+        bound
+        for slack in SLACKS
+        for p in probabilities.values()
+        for bound in (max(p - slack, 0.0), min(p + slack, 1.0))
+    ]
+    sketch = rows.groupBy(*group).agg(
+        F.count("v").alias("n"),
+        F.percentile_approx("v", bounds, ACCURACY).alias("cuts"),
+        *[c.alias(name) for name, c in extras.items()],
     )
     if few_keys or not keys:
         sketch = F.broadcast(sketch)
-    wanted = F.array(
+
+    def cut(at: int) -> Column:
+        # the slack must span some ranks; in a group too small for that there is no bracket
+        chosen = F.when(F.col("n") * SLACKS[0] >= 2, F.get("cuts", F.lit(at)))
+        return chosen.when(F.col("n") * SLACKS[1] >= 2, F.get("cuts", F.lit(2 * len(probabilities) + at)))
+
+    brackets = F.array(
         *[
-            F.struct(
-                F.lit(name).alias("name"),
-                F.lit(p).alias("p"),
-                F.get("cuts", F.lit(2 * i)).alias("low"),
-                F.get("cuts", F.lit(2 * i + 1)).alias("high"),
-            )
-            for i, (name, p) in enumerate(probabilities.items())
+            F.struct(F.lit(i).alias("which"), cut(2 * i).alias("low"), cut(2 * i + 1).alias("high"))
+            for i in range(len(probabilities))
         ]
     )
-    ranked = Window.partitionBy(*group, "name").orderBy(F.asc_nulls_first("v"))
+    low, high, v = F.col("q.low"), F.col("q.high"), F.col("v")
     counted = (
-        rows.join(sketch, group)
-        .select(*group, "n", "v", F.explode(wanted).alias("q"))
-        .filter(F.col("q.high").isNull() | (F.col("v") <= F.col("q.high")))
-        .select(
-            *group, "n", "q.name", "q.p",
-            F.when(F.col("q.low").isNull() | (F.col("v") >= F.col("q.low")), F.col("v")).alias("v"),
-        )
-        .groupBy(*group, "n", "name", "p", "v")
-        .agg(F.count(F.lit(1)).alias("c"))
-        .withColumn("upto", F.sum("c").over(ranked.rowsBetween(Window.unboundedPreceding, 0)))
-        .withColumn("place", F.col("p") * (F.col("n") - 1))
+        rows.join(sketch.select(*group, "n", brackets.alias("brackets")), group)
+        .select(*group, "n", "v", F.explode("brackets").alias("q"))
+        .filter(high.isNull() | (v <= high))
+        .groupBy(*group, F.col("q.which").alias("which"), F.when(low.isNull() | (v >= low), v).alias("v"))
+        .agg(F.count(F.lit(1)).alias("c"), F.max("n").alias("n"))
+    )
+    order = Window.partitionBy(*group, "which").orderBy(F.asc_nulls_first("v"))
+    share = F.get(F.lit(list(map(float, probabilities.values()))), F.col("which"))
+    ranked = counted.withColumns(
+        {
+            "upto": F.sum("c").over(order.rowsBetween(Window.unboundedPreceding, 0)),
+            "place": share * (F.col("n") - 1),
+        }
     )
 
-    def at(rank):
+    def at(rank: Column) -> Column:
         return F.max(F.when((F.col("upto") - F.col("c") <= rank) & (rank < F.col("upto")), F.col("v")))
 
-    low, high = F.col("low"), F.col("high")
-    missed = F.raise_error(F.lit("quantile outside its bracket; raise the accuracy")).cast("double")
-    picked = (
-        counted.groupBy(*group, "name", "place")
-        .agg(at(F.floor("place")).alias("low"), at(F.ceil("place")).alias("high"))
+    below, above, place = F.col("below"), F.col("above"), F.col("place")
+    missed = F.raise_error(F.lit("quantile outside its bracket")).cast("double")
+    answered = (
+        ranked.groupBy(*group, "which", "place")
+        .agg(at(F.floor("place")).alias("below"), at(F.ceil("place")).alias("above"))
         .withColumn(
             "answer",
-            F.when(low.isNull() | high.isNull(), missed).otherwise(
-                low + (high - low) * (F.col("place") - F.floor("place"))
+            F.when(below.isNull() | above.isNull(), missed).otherwise(
+                below + (above - below) * (place - F.floor(place))
             ),
         )
     )
-    return picked.groupBy(*group).agg(
-        *[F.max(F.when(F.col("name") == name, F.col("answer"))).alias(name) for name in names]
-    ).select(*keys, *names)
+    wide = answered.groupBy(*group).agg(
+        *[F.max(F.when(F.col("which") == i, F.col("answer"))).alias(name) for i, name in enumerate(probabilities)]
+    )
+    if extras:
+        wide = wide.join(sketch.select(*group, *extras), group)
+    return wide.select(*keys, *extras, *probabilities)

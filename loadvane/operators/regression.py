@@ -3,44 +3,110 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 from datetime import datetime, timedelta
 
 import numpy as np
 import pandas as pd
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import LinearRegression, LinearRegressionModel
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from loadvane.functions.timefn import epoch_micros
 
-MICROS = 1_000_000
 
+@dataclass(frozen=True)
+class LinearModel:
+    """A fitted linear function of named columns; booleans count as 0 / 1."""
 
-def assemble(df: DataFrame, features: Sequence[str]) -> DataFrame:
-    """Add the vector ``features``; booleans count as 0 / 1."""
-    cast = df.withColumns({f"_{f}": F.col(f).cast("double") for f in features})
-    names = [f"_{f}" for f in features]
-    return VectorAssembler(inputCols=names, outputCol="features").transform(cast).drop(*names)
+    features: tuple[str, ...]
+    coefficients: tuple[float, ...]
+    intercept: float
 
+    def column(self) -> Column:
+        total = F.lit(self.intercept)
+        for name, weight in zip(self.features, self.coefficients):
+            total = total + F.col(name).cast("double") * weight
+        return total
+
+    def predict(self, df: DataFrame, name: str = "predicted") -> DataFrame:
+        return df.withColumn(name, self.column())
+
+    def save(self, spark: SparkSession, path: str) -> None:
+        spark.createDataFrame([(list(self.features), list(self.coefficients), self.intercept)], MODEL_SCHEMA).coalesce(
+            1
+        ).write.mode("overwrite").parquet(path)
+
+    @classmethod
+    def load(cls, spark: SparkSession, path: str) -> LinearModel:
+        row = spark.read.schema(MODEL_SCHEMA).parquet(path).first()
+        return cls(tuple(row.features), tuple(row.coefficients), row.intercept)
 
-def fit_ols(df: DataFrame, features: Sequence[str], label: str, intercept: bool = True) -> LinearRegressionModel:
-    """Ordinary least squares in one pass over the rows."""
-    learner = LinearRegression(
-        featuresCol="features", labelCol="label", predictionCol="predicted",
-        regParam=0.0, solver="normal", fitIntercept=intercept,
-    )
-    return learner.fit(assemble(df, features).select("features", F.col(label).cast("double").alias("label")))
 
+MODEL_SCHEMA = "features array<string>, coefficients array<double>, intercept double"
+
+
+def _scaling(rows: DataFrame, features: Sequence[str], intercept: bool) -> tuple[list[float], list[float]]:
+    """Mean (0 without an intercept) and spread of each feature, from one pass.
+
+    Sums of products of centred and scaled features keep their precision.
+    """
+    row = rows.agg(
+        *[F.avg(F.col(f).cast("double")).alias(f"m_{i}") for i, f in enumerate(features)],
+        *[F.stddev_pop(F.col(f).cast("double")).alias(f"d_{i}") for i, f in enumerate(features)],
+    ).first()
+    p = range(len(features))
+    return [(row[f"m_{i}"] or 0.0) if intercept else 0.0 for i in p], [row[f"d_{i}"] or 1.0 for i in p]
 
-def coefficients(model: LinearRegressionModel, features: Sequence[str]) -> dict[str, float]:
-    return {"intercept": float(model.intercept), **dict(zip(features, map(float, model.coefficients)))}
 
+def _scaled(feature: str, middle: float, spread: float) -> Column:
+    return (F.col(feature).cast("double") - middle) / spread
 
-def predict(model: LinearRegressionModel, df: DataFrame, features: Sequence[str]) -> DataFrame:
-    """``df`` with the column ``predicted``."""
-    return model.transform(assemble(df, features)).drop("features")
+
+def _product_sums(p: int) -> list[Column]:
+    """Aggregates of the columns ``x_0 … y`` that least squares needs."""
+    return [
+        F.count(F.lit(1)).cast("double").alias("n"),
+        F.sum("y").alias("sy"),
+        *[F.sum(f"x_{i}").alias(f"s_{i}") for i in range(p)],
+        *[F.sum(F.col(f"x_{i}") * F.col("y")).alias(f"b_{i}") for i in range(p)],
+        *[F.sum(F.col(f"x_{i}") * F.col(f"x_{j}")).alias(f"g_{i}_{j}") for i in range(p) for j in range(i, p)],
+    ]
+
+
+def _solver(p: int, intercept: bool):
+    """Weights and constant from the sums; of minimum norm, as a feature may be constant."""
+
+    def solve(row) -> tuple[np.ndarray, float]:
+        gram = np.empty((p, p))
+        for i in range(p):
+            for j in range(i, p):
+                gram[i, j] = gram[j, i] = row[f"g_{i}_{j}"]
+        cross = np.array([row[f"b_{i}"] for i in range(p)])
+        sums, total, n = np.array([row[f"s_{i}"] for i in range(p)]), row["sy"], row["n"]
+        if intercept:
+            gram, cross = gram - np.outer(sums, sums) / n, cross - sums * total / n
+        beta = np.linalg.lstsq(gram, cross, rcond=1e-11)[0]
+        return beta, (total - beta @ sums) / n if intercept else 0.0
+
+    return solve
+
+
+def fit_ols(df: DataFrame, features: Sequence[str], label: str, intercept: bool = True) -> LinearModel:
+    """Ordinary least squares from cross-product sums: two aggregations, one row to the driver each."""
+    rows = df.select(*features, F.col(label).cast("double").alias("y")).na.drop()
+    middle, spread = _scaling(rows, features, intercept)
+    p = len(features)
+    sums = (
+        rows.select("y", *[_scaled(f, middle[i], spread[i]).alias(f"x_{i}") for i, f in enumerate(features)])
+        .agg(*_product_sums(p))
+        .first()
+    )
+    if not sums["n"]:
+        raise ValueError("no complete rows to fit")
+    beta, constant = _solver(p, intercept)(sums)
+    weights = beta / np.array(spread)
+    return LinearModel(tuple(features), tuple(map(float, weights)), float(constant - weights @ np.array(middle)))
 
 
 def _micros(moment: datetime) -> int:
@@ -99,29 +165,6 @@ def cutoff_frame(df: DataFrame, ts: str, horizon: timedelta, initial: timedelta,
     return spark.createDataFrame(rows, T.StructType([T.StructField("cutoff", T.TimestampNTZType())]))
 
 
-def _solve(p: int, intercept: bool):
-    pairs = [(i, j) for i in range(p) for j in range(i, p)]
-
-    def solve(fold: pd.DataFrame) -> pd.DataFrame:
-        row = fold.iloc[0]
-        n = row["n"]
-        if n < 2:
-            raise ValueError("fewer than two rows before a cutoff; make the initial window longer")
-        gram = np.empty((p, p))
-        for i, j in pairs:
-            gram[i, j] = gram[j, i] = row[f"g_{i}_{j}"]
-        cross = np.array([row[f"b_{i}"] for i in range(p)])
-        sums, total = np.array([row[f"s_{i}"] for i in range(p)]), row["sy"]
-        if intercept:
-            gram, cross = gram - np.outer(sums, sums) / n, cross - sums * total / n
-        # minimum-norm solution, as a feature may be constant early in the history
-        beta = np.linalg.lstsq(gram, cross, rcond=1e-11)[0]
-        constant = (total - beta @ sums) / n if intercept else 0.0
-        return pd.DataFrame({"fold": [row["fold"]], "beta": [list(beta)], "constant": [constant]})
-
-    return solve
-
-
 def cross_validate(
     df: DataFrame,
     ts: str,
@@ -152,32 +195,15 @@ def cross_validate(
         F.col(label).cast("double").alias("y"),
     )
 
-    # centre and scale, so that sums of products keep their precision
-    scale = rows.agg(
-        *[F.avg(F.col(f).cast("double")).alias(f"m_{i}") for i, f in enumerate(features)],
-        *[F.stddev_pop(F.col(f).cast("double")).alias(f"d_{i}") for i, f in enumerate(features)],
-    ).first()
-    spread = [scale[f"d_{i}"] or 1.0 for i in range(p)]
-    middle = [scale[f"m_{i}"] if intercept else 0.0 for i in range(p)]
-
-    def scaled(i: int) -> Column:
-        return (F.col(features[i]).cast("double") - middle[i]) / spread[i]
-
+    middle, spread = _scaling(rows, features, intercept)
     at = F.col("at")
     marked = F.lit(marks)
     fold_of = F.size(F.filter(marked, lambda c: c < at))
-    sums = [
-        F.count(F.lit(1)).cast("double").alias("n"),
-        F.sum("y").alias("sy"),
-        *[F.sum(f"x_{i}").alias(f"s_{i}") for i in range(p)],
-        *[F.sum(F.col(f"x_{i}") * F.col("y")).alias(f"b_{i}") for i in range(p)],
-        *[F.sum(F.col(f"x_{i}") * F.col(f"x_{j}")).alias(f"g_{i}_{j}") for i in range(p) for j in range(i, p)],
-    ]
     pieces = (
         rows.filter(F.col("ds") <= F.lit(cuts[-1].isoformat()).cast("timestamp_ntz"))
-        .select(fold_of.alias("fold"), "y", *[scaled(i).alias(f"x_{i}") for i in range(p)])
+        .select(fold_of.alias("fold"), "y", *[_scaled(f, middle[i], spread[i]).alias(f"x_{i}") for i, f in enumerate(features)])
         .groupBy("fold")
-        .agg(*sums)
+        .agg(*_product_sums(p))
     )
     spark = df.sparkSession
     folds = spark.range(len(marks)).select(F.col("id").cast("int").alias("fold"))
@@ -186,15 +212,24 @@ def cross_validate(
     nested = folds.join(pieces, "fold", "left").select(
         "fold", *[F.sum(F.coalesce(c, F.lit(0.0))).over(upto).alias(c) for c in names]
     )
-    solved = nested.groupBy("fold").applyInPandas(_solve(p, intercept), "fold int, beta array<double>, constant double")
+    solve = _solver(p, intercept)
+
+    def solve_fold(fold: pd.DataFrame) -> pd.DataFrame:
+        row = fold.iloc[0]
+        if row["n"] < 2:
+            raise ValueError("fewer than two rows before a cutoff; make the initial window longer")
+        beta, constant = solve(row)
+        return pd.DataFrame({"fold": [row["fold"]], "beta": [list(beta)], "constant": [constant]})
+
+    solved = nested.groupBy("fold").applyInPandas(solve_fold, "fold int, beta array<double>, constant double")
 
     tested = F.filter(F.sequence(F.lit(0), F.lit(len(marks) - 1)), lambda k: (F.get(marked, k) < at) & (at <= F.get(marked, k) + reach))
     ahead = rows.filter(F.col("ds") > F.lit(cuts[0].isoformat()).cast("timestamp_ntz")).select(
         "*", F.explode(tested).alias("fold")
     )
     yhat = F.col("constant")
-    for i in range(p):
-        yhat = yhat + F.get("beta", F.lit(i)) * scaled(i)
+    for i, f in enumerate(features):
+        yhat = yhat + F.get("beta", F.lit(i)) * _scaled(f, middle[i], spread[i])
     # one small row per fold
     return ahead.join(F.broadcast(solved), "fold").select(
         *features,

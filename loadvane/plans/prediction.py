@@ -5,15 +5,14 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import datetime
 
-from pyspark.ml.regression import LinearRegressionModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loadvane.functions.timefn import MOUNTAIN, ntz_literal, to_instant, to_local
 from loadvane.operators.asof import forecast_as_of
-from loadvane.operators.regression import predict
+from loadvane.operators.regression import LinearModel
 from loadvane.operators.series import upsample
-from loadvane.plans.training import FEATURES, make_features
+from loadvane.plans.training import make_features
 
 
 def hourly_forecast(
@@ -57,15 +56,14 @@ def prediction_frame(
 
 def batch_predict(
     forecasts: DataFrame,
-    model: LinearRegressionModel,
+    model: LinearModel,
     run_id: str,
     start: datetime | str,
     created: datetime | str,
-    features: Sequence[str] = tuple(FEATURES),
     zone: str = MOUNTAIN,
     keys: Sequence[str] = (),
 ) -> DataFrame:
     """Forecast known at ``start`` to hourly features to predictions, as one lazy plan."""
     hourly = hourly_forecast(forecasts, start, zone, keys)
-    scored = predict(model, make_features(hourly), features)
+    scored = model.predict(make_features(hourly))
     return prediction_frame(scored, run_id, start, created, zone, keys=keys)

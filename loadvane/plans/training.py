@@ -6,7 +6,6 @@ import time
 from collections.abc import Sequence
 from datetime import datetime, timedelta
 
-from pyspark.ml.regression import LinearRegressionModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,7 +13,7 @@ from loadvane import schemas
 from loadvane.functions.columns import add_month_flags, add_polynomials, drop_nulls, trim_range
 from loadvane.functions.timefn import add_calendar, in_window
 from loadvane.operators.metrics import performance_metrics
-from loadvane.operators.regression import cross_validate, fit_ols
+from loadvane.operators.regression import LinearModel, cross_validate, fit_ols
 
 # The default feature list and the plausible range of hourly demand.
 FEATURES = [
@@ -75,14 +74,14 @@ def best_run(runs: DataFrame, metric: str = "rmse") -> DataFrame:
     )
 
 
-def save_model(model: LinearRegressionModel, root: str, run_id: str) -> str:
+def save_model(spark: SparkSession, model: LinearModel, root: str, run_id: str) -> str:
     path = f"{root}/{run_id}"
-    model.write().overwrite().save(path)
+    model.save(spark, path)
     return path
 
 
-def load_model(root: str, run_id: str) -> LinearRegressionModel:
-    return LinearRegressionModel.load(f"{root}/{run_id}")
+def load_model(spark: SparkSession, root: str, run_id: str) -> LinearModel:
+    return LinearModel.load(spark, f"{root}/{run_id}")
 
 
 def train_run(
@@ -97,7 +96,7 @@ def train_run(
     initial: timedelta = timedelta(days=4 * 365),
     intercept: bool = True,
     params: dict | None = None,
-) -> LinearRegressionModel:
+) -> LinearModel:
     """Fit, cross-validate, log the overall metrics and durations, store the model."""
     spark = df.sparkSession
     began = time.monotonic()
@@ -110,5 +109,5 @@ def train_run(
     overall["cv_duration_minutes"] = (done - fitted) / 60
     described = {"features": list(features), "cv_horizon": horizon, "cv_period": period, "cv_initial": initial}
     log_run(spark, f"{root}/runs", run_id, {**described, **(params or {})}, overall)
-    save_model(model, f"{root}/models", run_id)
+    save_model(spark, model, f"{root}/models", run_id)
     return model

@@ -31,6 +31,22 @@ LIVE_DOCUMENT = _struct(
         humidity=T.DoubleType(),
     ),
 )
+# lists wherever the format may repeat an element; attributes carry an underscore
+_POINT = _struct(_latitude=T.DoubleType(), _longitude=T.DoubleType())
+_TEMPERATURE = _struct(value=T.ArrayType(T.StringType()))
+FORECAST_DOCUMENT = _struct(
+    head=_struct(product=T.StructType([T.StructField("creation-date", T.ArrayType(T.StringType()))])),
+    data=T.StructType(
+        [
+            T.StructField("location", _struct(point=T.ArrayType(_POINT))),
+            T.StructField(
+                "time-layout",
+                T.ArrayType(T.StructType([T.StructField("start-valid-time", T.ArrayType(T.StringType()))])),
+            ),
+            T.StructField("parameters", T.ArrayType(_struct(temperature=T.ArrayType(_TEMPERATURE)))),
+        ]
+    ),
+)
 STATION_LINE = _struct(
     STATION=T.StringType(),
     NAME=T.StringType(),

@@ -138,20 +138,20 @@ def reprocess_live_weather(
 
 def parse_forecast_xml(df: DataFrame, text: str = "value") -> DataFrame:
     """One row per valid time; unequal numbers of times and values stop the job."""
-    lists = df.select(
-        F.xpath(text, F.lit("/dwml/data/time-layout/start-valid-time/text()")).alias("times"),
-        F.xpath(text, F.lit("/dwml/data/parameters/temperature/value/text()")).alias("temps"),
-        F.xpath_string(text, F.lit("/dwml/data/location/point/@longitude")).cast("double").alias("lon"),
-        F.xpath_string(text, F.lit("/dwml/data/location/point/@latitude")).cast("double").alias("lat"),
-        parse_iso(F.xpath_string(text, F.lit("/dwml/head/product/creation-date"))).alias("creation_time"),
+    document = F.from_xml(text, schemas.FORECAST_DOCUMENT, {"mode": "FAILFAST"})
+    lists = df.select(document.alias("d")).select(
+        F.flatten("d.data.time-layout.start-valid-time").alias("times"),
+        F.flatten(F.flatten(F.transform("d.data.parameters", lambda p: p["temperature"]["value"]))).alias("temps"),
+        F.element_at("d.data.location.point", -1).alias("point"),
+        parse_iso(F.element_at("d.head.product.creation-date", -1)).alias("creation_time"),
     )
     paired = F.when(F.size("times") == F.size("temps"), F.arrays_zip("times", "temps")).otherwise(
         F.raise_error(F.lit("forecast document with unequal numbers of times and values"))
     )
-    return lists.select("lon", "lat", "creation_time", F.explode(paired).alias("pair")).select(
+    return lists.select("point", "creation_time", F.explode(paired).alias("pair")).select(
         parse_iso("pair.times").alias("forecast_time"),
-        "lon",
-        "lat",
+        F.col("point._longitude").alias("lon"),
+        F.col("point._latitude").alias("lat"),
         F.col("pair.temps").cast("long").alias("temp_F"),
         "creation_time",
     )
