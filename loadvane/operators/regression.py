@@ -7,8 +7,7 @@ from dataclasses import dataclass
 from datetime import datetime, timedelta
 
 import numpy as np
-import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -51,26 +50,24 @@ def _scaling(rows: DataFrame, features: Sequence[str], intercept: bool) -> tuple
 
     Sums of products of centred and scaled features keep their precision.
     """
-    row = rows.agg(
-        *[F.avg(F.col(f).cast("double")).alias(f"m_{i}") for i, f in enumerate(features)],
-        *[F.stddev_pop(F.col(f).cast("double")).alias(f"d_{i}") for i, f in enumerate(features)],
-    ).first()
     p = range(len(features))
-    return [(row[f"m_{i}"] or 0.0) if intercept else 0.0 for i in p], [row[f"d_{i}"] or 1.0 for i in p]
+    cast = rows.selectExpr(*[f"CAST(`{f}` AS DOUBLE) AS x_{i}" for i, f in enumerate(features)])
+    row = cast.selectExpr(*[f"{fn}(x_{i}) AS {fn}_{i}" for i in p for fn in ("avg", "stddev_pop")]).first()
+    return [(row[f"avg_{i}"] or 0.0) if intercept else 0.0 for i in p], [row[f"stddev_pop_{i}"] or 1.0 for i in p]
 
 
-def _scaled(feature: str, middle: float, spread: float) -> Column:
-    return (F.col(feature).cast("double") - middle) / spread
+def _scaled(feature: str, middle: float, spread: float) -> str:
+    return f"(CAST(`{feature}` AS DOUBLE) - ({middle!r}D)) / {spread!r}D"
 
 
-def _product_sums(p: int) -> list[Column]:
+def _product_sums(p: int) -> list[str]:
     """Aggregates of the columns ``x_0 … y`` that least squares needs."""
     return [
-        F.count(F.lit(1)).cast("double").alias("n"),
-        F.sum("y").alias("sy"),
-        *[F.sum(f"x_{i}").alias(f"s_{i}") for i in range(p)],
-        *[F.sum(F.col(f"x_{i}") * F.col("y")).alias(f"b_{i}") for i in range(p)],
-        *[F.sum(F.col(f"x_{i}") * F.col(f"x_{j}")).alias(f"g_{i}_{j}") for i in range(p) for j in range(i, p)],
+        "CAST(count(*) AS DOUBLE) AS n",
+        "sum(y) AS sy",
+        *[f"sum(x_{i}) AS s_{i}" for i in range(p)],
+        *[f"sum(x_{i} * y) AS b_{i}" for i in range(p)],
+        *[f"sum(x_{i} * x_{j}) AS g_{i}_{j}" for i in range(p) for j in range(i, p)],
     ]
 
 
@@ -98,8 +95,8 @@ def fit_ols(df: DataFrame, features: Sequence[str], label: str, intercept: bool
     middle, spread = _scaling(rows, features, intercept)
     p = len(features)
     sums = (
-        rows.select("y", *[_scaled(f, middle[i], spread[i]).alias(f"x_{i}") for i, f in enumerate(features)])
-        .agg(*_product_sums(p))
+        rows.selectExpr("y", *[f"{_scaled(f, middle[i], spread[i])} AS x_{i}" for i, f in enumerate(features)])
+        .selectExpr(*_product_sums(p))
         .first()
     )
     if not sums["n"]:
@@ -179,8 +176,8 @@ def cross_validate(
     """Expanding-window cross-validation of least squares: ``features, ds, y, yhat, cutoff``.
 
     Training sets are nested, so the rows between two cutoffs are reduced once to their
-    cross-product sums and added up over the few cutoffs: the cost does not grow with
-    the number of folds. ``period`` defaults to half a horizon, ``initial`` to three.
+    cross-product sums, and those are added up over the few cutoffs: the rows are
+    aggregated once, whatever the number of folds. ``period`` defaults to half a horizon, ``initial`` to three.
     """
     period = horizon / 2 if period is None else period
     initial = 3 * horizon if initial is None else initial
@@ -193,7 +190,7 @@ def cross_validate(
         epoch_micros(ts).alias("at"),
         *features,
         F.col(label).cast("double").alias("y"),
-    )
+    ).na.drop()
 
     middle, spread = _scaling(rows, features, intercept)
     at = F.col("at")
@@ -201,40 +198,33 @@ def cross_validate(
     fold_of = F.size(F.filter(marked, lambda c: c < at))
     pieces = (
         rows.filter(F.col("ds") <= F.lit(cuts[-1].isoformat()).cast("timestamp_ntz"))
-        .select(fold_of.alias("fold"), "y", *[_scaled(f, middle[i], spread[i]).alias(f"x_{i}") for i, f in enumerate(features)])
+        .withColumn("fold", fold_of)
+        .selectExpr("fold", "y", *[f"{_scaled(f, middle[i], spread[i])} AS x_{i}" for i, f in enumerate(features)])
         .groupBy("fold")
-        .agg(*_product_sums(p))
+        .agg(*map(F.expr, _product_sums(p)))
     )
-    spark = df.sparkSession
-    folds = spark.range(len(marks)).select(F.col("id").cast("int").alias("fold"))
-    names = [c for c in pieces.columns if c != "fold"]
-    upto = Window.partitionBy(F.lit(0)).orderBy("fold").rowsBetween(Window.unboundedPreceding, 0)
-    nested = folds.join(pieces, "fold", "left").select(
-        "fold", *[F.sum(F.coalesce(c, F.lit(0.0))).over(upto).alias(c) for c in names]
+    # one row of sums per cutoff, so adding up and solving is a few small systems
+    nested = (
+        pieces.toPandas().set_index("fold").reindex(range(len(marks))).fillna(0.0).cumsum()
     )
+    if nested["n"].iloc[0] < 2:
+        raise ValueError("fewer than two rows before a cutoff; make the initial window longer")
     solve = _solver(p, intercept)
-
-    def solve_fold(fold: pd.DataFrame) -> pd.DataFrame:
-        row = fold.iloc[0]
-        if row["n"] < 2:
-            raise ValueError("fewer than two rows before a cutoff; make the initial window longer")
-        beta, constant = solve(row)
-        return pd.DataFrame({"fold": [row["fold"]], "beta": [list(beta)], "constant": [constant]})
-
-    solved = nested.groupBy("fold").applyInPandas(solve_fold, "fold int, beta array<double>, constant double")
-
-    tested = F.filter(F.sequence(F.lit(0), F.lit(len(marks) - 1)), lambda k: (F.get(marked, k) < at) & (at <= F.get(marked, k) + reach))
-    ahead = rows.filter(F.col("ds") > F.lit(cuts[0].isoformat()).cast("timestamp_ntz")).select(
-        "*", F.explode(tested).alias("fold")
+    fitted = []
+    for fold, (_, sums) in enumerate(nested.iterrows()):
+        beta, constant = solve(sums)
+        fitted.append((fold, cuts[fold], [float(b) for b in beta], float(constant)))
+    models = df.sparkSession.createDataFrame(
+        fitted, "fold int, cutoff timestamp_ntz, beta array<double>, constant double"
     )
-    yhat = F.col("constant")
-    for i, f in enumerate(features):
-        yhat = yhat + F.get("beta", F.lit(i)) * _scaled(f, middle[i], spread[i])
-    # one small row per fold
-    return ahead.join(F.broadcast(solved), "fold").select(
-        *features,
-        "ds",
-        "y",
-        yhat.alias("yhat"),
-        F.timestamp_micros(F.get(marked, F.col("fold"))).cast("timestamp_ntz").alias("cutoff"),
+    reached = F.filter(
+        F.sequence(F.lit(0), F.lit(len(marks) - 1)),
+        lambda k: (F.get(marked, k) < at) & (at <= F.get(marked, k) + reach),
+    )
+    tested = rows.filter(F.col("ds") > F.lit(cuts[0].isoformat()).cast("timestamp_ntz")).withColumn(
+        "fold", F.explode(reached)
+    )
+    terms = [f"beta[{i}] * ({_scaled(f, middle[i], spread[i])})" for i, f in enumerate(features)]
+    return tested.join(F.broadcast(models), "fold").selectExpr(
+        *[f"`{f}`" for f in features], "ds", "y", f"{' + '.join(['constant', *terms])} AS yhat", "cutoff"
     )
