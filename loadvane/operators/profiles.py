@@ -18,7 +18,7 @@ def profile(
     """Mean, 10th and 90th percentile of ``value`` per key; set ``few_keys=False`` for measured keys."""
     keyed = df.select(*[c.alias(k) for k, c in by.items()], F.col(value).alias("measured"))
     return exact_quantiles(
-        keyed, list(by), "measured", {"p10": 0.1, "p90": 0.9}, few_keys, extras={"mean": F.avg("v")}
+        keyed, list(by), "measured", {"p10": 0.1, "p90": 0.9}, few_keys, extras={"mean": F.avg}
     )
 
 
@@ -55,11 +55,11 @@ def describe(df: DataFrame, columns: Sequence[str]) -> DataFrame:
         ).alias("cell")
     ).select("cell.*")
     moments = {
-        "count": F.count("v"),
-        "mean": F.avg("v"),
-        "std": F.stddev_samp("v"),
-        "min": F.min("v"),
-        "max": F.max("v"),
+        "count": F.count,
+        "mean": F.avg,
+        "std": F.stddev_samp,
+        "min": F.min,
+        "max": F.max,
     }
     quartiles = {"p25": 0.25, "p50": 0.5, "p75": 0.75}
     return exact_quantiles(long, ["column"], "v", quartiles, few_keys=True, extras=moments).select(

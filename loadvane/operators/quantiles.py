@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -18,7 +18,7 @@ def exact_quantiles(
     value: str,
     probabilities: dict[str, float],
     few_keys: bool = False,
-    extras: dict[str, Column] | None = None,
+    extras: dict[str, Callable[[Column], Column]] | None = None,
 ) -> DataFrame:
     """One row per key: linearly interpolated quantiles, named by ``probabilities``.
 
@@ -30,15 +30,15 @@ def exact_quantiles(
     a rank outside its bracket stops the job instead of answering wrongly.
 
     ``few_keys=True`` says the keys are bounded by construction (calendar parts), so the
-    sketches may be broadcast. ``extras`` are further aggregates of the value, named
-    ``v``, taken in the same pass as the sketch. Null values and null keys take no part.
+    sketches may be broadcast. ``extras`` are further aggregates of the value, taken
+    in the same pass as the sketch. Null values and null keys take no part.
     """
     keys, extras = list(keys), extras or {}
-    rows = df.select(*keys, F.col(value).cast("double").alias("v")).na.drop()
+    rows = df.select(*keys, F.col(value).cast("double").alias("_v")).na.drop()
     # one constant key makes the ungrouped case the same plan
-    group = keys or ["everything"]
+    group = keys or ["_everything"]
     if not keys:
-        rows = rows.withColumn("everything", F.lit(0))
+        rows = rows.withColumn("_everything", F.lit(0))
 
     bounds = [
         bound
@@ -47,17 +47,17 @@ def exact_quantiles(
         for bound in (max(p - slack, 0.0), min(p + slack, 1.0))
     ]
     sketch = rows.groupBy(*group).agg(
-        F.count("v").alias("n"),
-        F.percentile_approx("v", bounds, ACCURACY).alias("cuts"),
-        *[c.alias(name) for name, c in extras.items()],
+        F.count("_v").alias("_n"),
+        F.percentile_approx("_v", bounds, ACCURACY).alias("_cuts"),
+        *[aggregate(F.col("_v")).alias(name) for name, aggregate in extras.items()],
     )
     if few_keys or not keys:
         sketch = F.broadcast(sketch)
 
     def cut(at: int) -> Column:
         # the slack must span some ranks; in a group too small for that there is no bracket
-        chosen = F.when(F.col("n") * SLACKS[0] >= 2, F.get("cuts", F.lit(at)))
-        return chosen.when(F.col("n") * SLACKS[1] >= 2, F.get("cuts", F.lit(2 * len(probabilities) + at)))
+        chosen = F.when(F.col("_n") * SLACKS[0] >= 2, F.get("_cuts", F.lit(at)))
+        return chosen.when(F.col("_n") * SLACKS[1] >= 2, F.get("_cuts", F.lit(2 * len(probabilities) + at)))
 
     brackets = F.array(
         *[
@@ -65,40 +65,40 @@ def exact_quantiles(
             for i in range(len(probabilities))
         ]
     )
-    low, high, v = F.col("q.low"), F.col("q.high"), F.col("v")
+    low, high, v = F.col("_q.low"), F.col("_q.high"), F.col("_v")
     counted = (
-        rows.join(sketch.select(*group, "n", brackets.alias("brackets")), group)
-        .select(*group, "n", "v", F.explode("brackets").alias("q"))
+        rows.join(sketch.select(*group, "_n", brackets.alias("_brackets")), group)
+        .select(*group, "_n", "_v", F.explode("_brackets").alias("_q"))
         .filter(high.isNull() | (v <= high))
-        .groupBy(*group, F.col("q.which").alias("which"), F.when(low.isNull() | (v >= low), v).alias("v"))
-        .agg(F.count(F.lit(1)).alias("c"), F.max("n").alias("n"))
+        .groupBy(*group, F.col("_q.which").alias("_which"), F.when(low.isNull() | (v >= low), v).alias("_v"))
+        .agg(F.count(F.lit(1)).alias("_c"), F.max("_n").alias("_n"))
     )
-    order = Window.partitionBy(*group, "which").orderBy(F.asc_nulls_first("v"))
-    share = F.get(F.lit(list(map(float, probabilities.values()))), F.col("which"))
+    order = Window.partitionBy(*group, "_which").orderBy(F.asc_nulls_first("_v"))
+    share = F.get(F.lit(list(map(float, probabilities.values()))), F.col("_which"))
     ranked = counted.withColumns(
         {
-            "upto": F.sum("c").over(order.rowsBetween(Window.unboundedPreceding, 0)),
-            "place": share * (F.col("n") - 1),
+            "_upto": F.sum("_c").over(order.rowsBetween(Window.unboundedPreceding, 0)),
+            "_place": share * (F.col("_n") - 1),
         }
     )
 
     def at(rank: Column) -> Column:
-        return F.max(F.when((F.col("upto") - F.col("c") <= rank) & (rank < F.col("upto")), F.col("v")))
+        return F.max(F.when((F.col("_upto") - F.col("_c") <= rank) & (rank < F.col("_upto")), F.col("_v")))
 
-    below, above, place = F.col("below"), F.col("above"), F.col("place")
+    below, above, place = F.col("_below"), F.col("_above"), F.col("_place")
     missed = F.raise_error(F.lit("quantile outside its bracket")).cast("double")
     answered = (
-        ranked.groupBy(*group, "which", "place")
-        .agg(at(F.floor("place")).alias("below"), at(F.ceil("place")).alias("above"))
+        ranked.groupBy(*group, "_which", "_place")
+        .agg(at(F.floor("_place")).alias("_below"), at(F.ceil("_place")).alias("_above"))
         .withColumn(
-            "answer",
-            F.when(below.isNull() | above.isNull(), missed).otherwise(
-                below + (above - below) * (place - F.floor(place))
-            ),
+            "_answer",
+            F.when(below.isNull() | above.isNull(), missed)
+            .when(below == above, below)  # also where both are infinite
+            .otherwise(below + (above - below) * (place - F.floor(place))),
         )
     )
     wide = answered.groupBy(*group).agg(
-        *[F.max(F.when(F.col("which") == i, F.col("answer"))).alias(name) for i, name in enumerate(probabilities)]
+        *[F.max(F.when(F.col("_which") == i, F.col("_answer"))).alias(name) for i, name in enumerate(probabilities)]
     )
     if extras:
         wide = wide.join(sketch.select(*group, *extras), group)

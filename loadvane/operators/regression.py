@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import datetime, timedelta
@@ -46,14 +47,26 @@ MODEL_SCHEMA = "features array<string>, coefficients array<double>, intercept do
 
 
 def _scaling(rows: DataFrame, features: Sequence[str], intercept: bool) -> tuple[list[float], list[float]]:
-    """Mean (0 without an intercept) and spread of each feature, from one pass.
+    """Shift and scale of each feature, from one pass: mean and deviation, or without an
+    intercept 0 and the root mean square.
 
-    Sums of products of centred and scaled features keep their precision.
+    Sums of products of scaled features keep their precision. A deviation that is only
+    rounding noise of the mean belongs to a constant feature and is not used.
     """
-    p = range(len(features))
     cast = rows.selectExpr(*[f"CAST(`{f}` AS DOUBLE) AS x_{i}" for i, f in enumerate(features)])
-    row = cast.selectExpr(*[f"{fn}(x_{i}) AS {fn}_{i}" for i in p for fn in ("avg", "stddev_pop")]).first()
-    return [(row[f"avg_{i}"] or 0.0) if intercept else 0.0 for i in p], [row[f"stddev_pop_{i}"] or 1.0 for i in p]
+    row = cast.selectExpr(
+        *[f"{fn}(x_{i}) AS {fn}_{i}" for i in range(len(features)) for fn in ("avg", "stddev_pop")]
+    ).first()
+    middle, spread = [], []
+    for i in range(len(features)):
+        mean, deviation = row[f"avg_{i}"] or 0.0, row[f"stddev_pop_{i}"] or 0.0
+        if intercept:
+            middle.append(mean)
+            spread.append(deviation if deviation > 1e-9 * abs(mean) else max(abs(mean), 1.0))
+        else:
+            middle.append(0.0)
+            spread.append(math.hypot(mean, deviation) or 1.0)
+    return middle, spread
 
 
 def _scaled(feature: str, middle: float, spread: float) -> str:

@@ -88,9 +88,9 @@ def evaluate_spline(x: np.ndarray, y: np.ndarray, second: np.ndarray, at: np.nda
 def _spline_block(step: int):
     def fill(knots: pd.DataFrame) -> pd.DataFrame:
         knots = knots.sort_values("knot_second")
-        core = knots.index[knots["is_core"]]
-        if len(core) == 0:
-            return knots.assign(at_second=0, filled=0.0).iloc[:0]
+        carried = knots.columns.drop(["knot_second", "knot_value", "is_core", "halo_block"])
+        if not knots["is_core"].any():
+            return knots[carried].iloc[:0].assign(at_second=0, filled=0.0)
         seconds = knots["knot_second"].to_numpy()
         x, y = seconds.astype(float) / step, knots["knot_value"].to_numpy(float)
         where = np.flatnonzero(knots["is_core"].to_numpy())
@@ -103,7 +103,7 @@ def _spline_block(step: int):
             filled = y[where[0] : where[0] + len(at)]
         else:
             raise ValueError("a cubic needs at least 4 known points in a series")
-        first = knots.iloc[[0]].drop(columns=["knot_second", "knot_value", "is_core", "halo_block"])
+        first = knots[carried].iloc[[0]]
         out = first.loc[first.index.repeat(len(at))].reset_index(drop=True)
         return out.assign(at_second=at, filled=filled)
 
