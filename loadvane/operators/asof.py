@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from loadvane.operators.ordered import with_next
+
 
 def _newest(df: DataFrame, keys: Sequence[str], values: Sequence[str]) -> DataFrame:
     newest = F.max(F.struct("creation_time", *values)).alias("newest")
@@ -43,11 +45,8 @@ def forecast_as_of_many(
         .groupBy(*keys, "forecast_time", "creation_time")
         .agg(F.max(F.struct(*values)).alias("held"))
     )
-    following = F.lead("creation_time").over(
-        Window.partitionBy(*keys, "forecast_time").orderBy("creation_time")
-    )
     # `until` is exclusive when a newer run takes over, inclusive at the valid time itself
-    spans = runs.withColumn("replaced_at", following).withColumn(
+    spans = with_next(runs, [*keys, "forecast_time"], "creation_time", "replaced_at").withColumn(
         "until", F.coalesce("replaced_at", "forecast_time")
     )
     days = F.sequence(F.to_date("creation_time"), F.to_date("until"))

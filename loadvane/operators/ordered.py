@@ -1,10 +1,9 @@
 """Order-dependent building blocks that never sort one key, or everything, in one task.
 
-A window over a whole series puts that series in one task. Here rows are cut into
-blocks by an expression that grows with the order (an hour, a slice of an axis);
-each block is sorted on its own and one small row per block carries the totals over.
-Block expressions are plain functions of the row and of min / max / count, so every
-use of them in a plan agrees, also when lost tasks run again.
+A window over a whole series puts that series in one task. Here rows are first sorted
+into ranges of about equal size across all keys, so that a long key, a crowded hour or a
+pile of equal times spreads over many tasks. The ranged rows are written to the shared
+folder: everything counted per range later on agrees, also when lost tasks run again.
 """
 
 from __future__ import annotations
@@ -14,44 +13,86 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-AXIS_BLOCKS = 1024
-
-
-def _per(keys: Sequence[str]):
-    return Window.partitionBy(*keys) if keys else Window.partitionBy(F.lit(0))
+from loadvane.session import settle
+
+AXIS_SLICES = 1024
+# monotonically_increasing_id: the partition above these bits, the row's place in it below
+ROW_BITS = 33
+
+
+def in_ranges(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """Sort by ``keys`` then ``order`` into stored ranges; adds ``range_id`` and ``range_row``."""
+    by = [*keys, *order]
+    marked = (
+        df.repartitionByRange(*by)
+        .sortWithinPartitions(*by)
+        .withColumn("range_mark", F.monotonically_increasing_id())
+        .withColumns(
+            {
+                "range_id": F.shiftright("range_mark", ROW_BITS),
+                "range_row": F.col("range_mark").bitwiseAND(F.lit((1 << ROW_BITS) - 1)),
+            }
+        )
+        .drop("range_mark")
+    )
+    return settle(marked, "ranges")
 
 
-def running_totals(
-    df: DataFrame, keys: Sequence[str], block: str, order: Sequence[str], sums: Sequence[str]
-) -> DataFrame:
-    """Add ``cum_<s>`` for each column: its sum up to and including the row, per key."""
-    inside = Window.partitionBy(*keys, block).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    earlier = _per(keys).orderBy(block).rowsBetween(Window.unboundedPreceding, -1)
+def running_totals(ranged: DataFrame, keys: Sequence[str], sums: Sequence[str]) -> DataFrame:
+    """Add ``cum_<s>`` for each column of ``in_ranges`` rows: its sum up to the row, per key."""
+    inside = Window.partitionBy("range_id", *keys).orderBy("range_row").rowsBetween(Window.unboundedPreceding, 0)
+    # one row per range and key
+    earlier = Window.partitionBy(*(keys or [F.lit(0)])).orderBy("range_id").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
-        df.groupBy(*keys, block)
-        .agg(*[F.sum(s).alias(f"block_{s}") for s in sums])
-        .select(*keys, block, *[F.coalesce(F.sum(f"block_{s}").over(earlier), F.lit(0)).alias(f"before_{s}") for s in sums])
+        ranged.groupBy("range_id", *keys)
+        .agg(*[F.sum(s).alias(f"range_{s}") for s in sums])
+        .select(
+            "range_id", *keys, *[F.coalesce(F.sum(f"range_{s}").over(earlier), F.lit(0)).alias(f"before_{s}") for s in sums]
+        )
     )
-    local = df.withColumns({f"cum_{s}": F.sum(s).over(inside) for s in sums})
     return (
-        local.join(offsets, [*keys, block])
+        ranged.withColumns({f"cum_{s}": F.sum(s).over(inside) for s in sums})
+        .join(offsets, ["range_id", *keys])
         .withColumns({f"cum_{s}": F.col(f"cum_{s}") + F.col(f"before_{s}") for s in sums})
         .drop(*[f"before_{s}" for s in sums])
     )
 
 
-def with_position(
-    df: DataFrame, keys: Sequence[str], block: str, order: Sequence[str], name: str = "position"
-) -> DataFrame:
+def with_position(df: DataFrame, keys: Sequence[str], order: Sequence[str], name: str = "position") -> DataFrame:
     """Add the row's zero-based place in the order of its key."""
-    earlier = _per(keys).orderBy(block).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (
-        df.groupBy(*keys, block)
-        .agg(F.count(F.lit(1)).alias("block_rows"))
-        .select(*keys, block, F.coalesce(F.sum("block_rows").over(earlier), F.lit(0)).alias("rows_before"))
+    ranged = in_ranges(df, keys, order)
+    sizes = ranged.groupBy("range_id").agg(F.count(F.lit(1)).alias("range_rows"))
+    earlier = Window.partitionBy(F.lit(0)).orderBy("range_id").rowsBetween(Window.unboundedPreceding, -1)
+    # one row per range, of which there are as many as shuffle partitions
+    offsets = sizes.select("range_id", F.coalesce(F.sum("range_rows").over(earlier), F.lit(0)).alias("rows_before"))
+    placed = ranged.join(F.broadcast(offsets), "range_id").withColumn(name, F.col("rows_before") + F.col("range_row"))
+    placed = placed.drop("range_id", "range_row", "rows_before")
+    if not keys:
+        return placed
+    first = placed.groupBy(*keys).agg(F.min(name).alias("key_start"))
+    return placed.join(first, [*keys]).withColumn(name, F.col(name) - F.col("key_start")).drop("key_start")
+
+
+def with_next(df: DataFrame, keys: Sequence[str], order: str, name: str) -> DataFrame:
+    """Add ``order`` of the following row of the same key, null on the last one."""
+    ranged = in_ranges(df, keys, [order])
+    seen = F.struct(*keys, F.col(order).alias("at"))
+    inside = Window.partitionBy("range_id").orderBy("range_row")
+    starts = ranged.filter(F.col("range_row") == 0).select("range_id", seen.alias("start"))
+    across = Window.partitionBy(F.lit(0)).orderBy("range_id")
+    # one row per range: what the next range starts with
+    bridges = starts.select("range_id", F.lead("start").over(across).alias("next_start"))
+    linked = (
+        ranged.withColumn("following", F.lead(seen).over(inside))
+        .join(F.broadcast(bridges), "range_id")
+        .withColumn("following", F.coalesce("following", "next_start"))
+    )
+    same = F.lit(True)
+    for k in keys:
+        same = same & (F.col(f"following.{k}") == F.col(k))
+    return linked.withColumn(name, F.when(same, F.col("following.at"))).drop(
+        "range_id", "range_row", "following", "next_start"
     )
-    place = F.row_number().over(Window.partitionBy(*keys, block).orderBy(*order))
-    return df.join(offsets, [*keys, block]).withColumn(name, F.col("rows_before") + place - 1).drop("rows_before")
 
 
 def with_halo(
@@ -77,13 +118,6 @@ def with_halo(
     return df.select("*", F.explode(targets).alias("halo_block")).withColumn("is_core", F.col("halo_block") == home)
 
 
-def axis_block(value: Column | str, low: Column, high: Column, blocks: int = AXIS_BLOCKS) -> Column:
-    """Equal slice of the axis from ``low`` to ``high`` a value falls in, 0 … ``blocks``."""
-    v = F.col(value) if isinstance(value, str) else value
-    width = F.greatest((high - low).cast("double") / blocks, F.lit(1e-300))
-    return F.floor((v - low).cast("double") / width)
-
-
 def lookup_on_axis(
     points: DataFrame,
     point: str,

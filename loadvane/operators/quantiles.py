@@ -65,13 +65,15 @@ def exact_quantiles(
             for i in range(len(probabilities))
         ]
     )
+    # the extras are constant per group and ride along
+    carried = [F.max(name).alias(name) for name in extras]
     low, high, v = F.col("_q.low"), F.col("_q.high"), F.col("_v")
     counted = (
-        rows.join(sketch.select(*group, "_n", brackets.alias("_brackets")), group)
-        .select(*group, "_n", "_v", F.explode("_brackets").alias("_q"))
+        rows.join(sketch.select(*group, "_n", *extras, brackets.alias("_brackets")), group)
+        .select(*group, "_n", "_v", *extras, F.explode("_brackets").alias("_q"))
         .filter(high.isNull() | (v <= high))
         .groupBy(*group, F.col("_q.which").alias("_which"), F.when(low.isNull() | (v >= low), v).alias("_v"))
-        .agg(F.count(F.lit(1)).alias("_c"), F.max("_n").alias("_n"))
+        .agg(F.count(F.lit(1)).alias("_c"), F.max("_n").alias("_n"), *carried)
     )
     order = Window.partitionBy(*group, "_which").orderBy(F.asc_nulls_first("_v"))
     share = F.get(F.lit(list(map(float, probabilities.values()))), F.col("_which"))
@@ -89,7 +91,7 @@ def exact_quantiles(
     missed = F.raise_error(F.lit("quantile outside its bracket")).cast("double")
     answered = (
         ranked.groupBy(*group, "_which", "_place")
-        .agg(at(F.floor("_place")).alias("_below"), at(F.ceil("_place")).alias("_above"))
+        .agg(at(F.floor("_place")).alias("_below"), at(F.ceil("_place")).alias("_above"), *carried)
         .withColumn(
             "_answer",
             F.when(below.isNull() | above.isNull(), missed)
@@ -98,8 +100,7 @@ def exact_quantiles(
         )
     )
     wide = answered.groupBy(*group).agg(
-        *[F.max(F.when(F.col("_which") == i, F.col("_answer"))).alias(name) for i, name in enumerate(probabilities)]
+        *[F.max(F.when(F.col("_which") == i, F.col("_answer"))).alias(name) for i, name in enumerate(probabilities)],
+        *carried,
     )
-    if extras:
-        wide = wide.join(sketch.select(*group, *extras), group)
     return wide.select(*keys, *extras, *probabilities)

@@ -12,22 +12,11 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loadvane.functions.timefn import epoch_micros
-from loadvane.operators.ordered import AXIS_BLOCKS, axis_block, lookup_on_axis, running_totals, with_position
+from loadvane.operators.ordered import AXIS_SLICES, in_ranges, lookup_on_axis, running_totals, with_position
 from loadvane.operators.quantiles import exact_quantiles
 from loadvane.session import settle
 
 
-def _axis(per_horizon: DataFrame, counts: Sequence[str]) -> tuple[DataFrame, int]:
-    """The table with the slice of the horizon axis of each row, and the total of its counts."""
-    low, high, *totals = per_horizon.agg(
-        F.min("horizon"), F.max("horizon"), *[F.sum(c) for c in counts]
-    ).first()
-    if low is None:
-        return per_horizon.withColumn("h_block", F.lit(0)), 0
-    return per_horizon.withColumn("h_block", axis_block("horizon", F.lit(low), F.lit(high))), max(totals)
-
-
 def rolling_means(df: DataFrame, measures: dict[str, Column], w: int) -> DataFrame:
     """Right-aligned mean of exactly ``w`` points per horizon, the oldest horizon
     entering with its own mean for the part that fits.
@@ -41,10 +30,8 @@ def rolling_means(df: DataFrame, measures: dict[str, Column], w: int) -> DataFra
         *[F.sum(c.cast("double")).alias(f"sum_{m}") for m, c in measures.items()],
         *[F.count(c).alias(f"n_{m}") for m, c in measures.items()],
     )
-    sliced, points = _axis(settle(per_horizon, "per-horizon"), [f"n_{m}" for m in names])
-    long = sliced.select(
+    long = per_horizon.select(
         "horizon",
-        "h_block",
         F.explode(
             F.array(
                 *[
@@ -53,8 +40,10 @@ def rolling_means(df: DataFrame, measures: dict[str, Column], w: int) -> DataFra
                 ]
             )
         ).alias("cell"),
-    ).select("horizon", "h_block", "cell.*").filter(F.col("n") > 0)
-    totals = running_totals(long, ["metric"], "h_block", ["horizon"], ["x", "n"])
+    ).select("horizon", "cell.*").filter(F.col("n") > 0)
+    ranged = in_ranges(long, ["metric"], ["horizon"])
+    points = ranged.groupBy("metric").agg(F.sum("n").alias("n")).agg(F.max("n")).first()[0] or 0
+    totals = running_totals(ranged, ["metric"], ["x", "n"])
     curve = totals.select(
         "metric",
         (F.col("cum_n") - F.col("n")).cast("double").alias("n_from"),
@@ -66,7 +55,7 @@ def rolling_means(df: DataFrame, measures: dict[str, Column], w: int) -> DataFra
         "metric", "horizon", "cum_x", (F.col("cum_n") - w).cast("double").alias("left_edge")
     )
     # positions are counts of rows, so equal slices of this axis hold equal numbers of rows
-    slice_width = F.lit(max(points / AXIS_BLOCKS, 1.0))
+    slice_width = F.lit(max(points / AXIS_SLICES, 1.0))
     found = lookup_on_axis(
         asked, "left_edge", curve, "n_from", "n_to", ["n_from", "x_from", "rate"], slice_width, keys=["metric"]
     )
@@ -80,19 +69,20 @@ def rolling_means(df: DataFrame, measures: dict[str, Column], w: int) -> DataFra
 def rolling_median(df: DataFrame, measure: Column, name: str, w: int, order: Sequence[str] = ("ds", "cutoff")) -> DataFrame:
     """Median of all points of a horizon, topped up to ``w`` with the points just before it.
 
-    Points are ordered by horizon, then by ``order`` (``order[0]`` a time). Positions
-    come from per-block counts; only the points of the topped-up part meet other
-    horizons, in an equi-join on slices of the position axis.
+    Points are ordered by horizon, then by ``order``, then by value. Only the points of
+    the topped-up part meet other horizons, in an equi-join on slices of the positions.
     """
-    points = settle(df.select("horizon", *order, measure.cast("double").alias("x")), "horizon-points")
-    per_horizon = points.groupBy("horizon").agg(F.count(F.lit(1)).alias("n"))
-    sliced, rows = _axis(settle(per_horizon, "per-horizon"), ["n"])
-    totals = running_totals(sliced, [], "h_block", ["horizon"], ["n"])
+    points = df.select("horizon", *order, measure.cast("double").alias("x"))
+    placed = settle(with_position(points, [], ["horizon", *order, "x"]), "horizon-points")
+    totals = placed.groupBy("horizon").agg(
+        F.count(F.lit(1)).alias("n"), (F.max("position") + 1).alias("cum_n")
+    )
+    rows = placed.count()
     answered = totals.filter(F.col("cum_n") >= w)
-    own = points.join(answered.select("horizon"), "horizon").select("horizon", "x")
+    own = placed.join(answered.select("horizon"), "horizon").select("horizon", "x")
 
-    # windows that reach back: zero-based positions from cum_n - w up to their own first point
-    width = max(math.ceil(rows / AXIS_BLOCKS), 1)
+    # windows that reach back: positions from cum_n - w up to their own first point
+    width = max(math.ceil(rows / AXIS_SLICES), 1)
     reaching = answered.filter(F.col("n") < w).select(
         F.col("horizon").alias("window"),
         (F.col("cum_n") - w).alias("reach_from"),
@@ -101,16 +91,8 @@ def rolling_median(df: DataFrame, measure: Column, name: str, w: int, order: Seq
         "slice",
         F.explode(F.sequence(F.floor(F.col("reach_from") / width), F.floor((F.col("reach_to") - 1) / width))),
     )
-    placed = with_position(
-        points.withColumn("day_block", F.floor(epoch_micros(order[0]) / (86_400 * 1_000_000))),
-        ["horizon"],
-        "day_block",
-        [*order, "x"],
-        name="place",
-    ).join(totals.select("horizon", (F.col("cum_n") - F.col("n")).alias("rows_ahead")), "horizon")
     topped = (
-        placed.select("x", (F.col("rows_ahead") + F.col("place")).alias("position"))
-        .withColumn("slice", F.floor(F.col("position") / width))
+        placed.withColumn("slice", F.floor(F.col("position") / width))
         .join(reaching, "slice")
         .filter((F.col("position") >= F.col("reach_from")) & (F.col("position") < F.col("reach_to")))
         .select(F.col("window").alias("horizon"), "x")

@@ -36,10 +36,7 @@ def median_filter(
     equal time.
     """
     back, ahead = window // 2, window - window // 2 - 1
-    placed = with_position(
-        df.withColumn("hour_block", F.date_trunc("hour", ts)), keys, "hour_block", [ts, *tie]
-    ).drop("hour_block")
-    blocked = with_halo(placed, "position", block_rows, back, ahead)
+    blocked = with_halo(with_position(df, keys, [ts, *tie]), "position", block_rows, back, ahead)
     frame = (
         Window.partitionBy(*keys, "halo_block").orderBy("position").rowsBetween(-back, ahead)
     )
@@ -119,10 +116,8 @@ def _knot_blocks(df: DataFrame, keys: Sequence[str], ts: str, value: str, step:
             F.col(value).cast("double").alias("knot_value"),
         )
         .filter(F.col("knot_second") % step == 0)
-        .withColumn("day_block", F.floor(F.col("knot_second") / 86_400))
     )
-    placed = with_position(knots, keys, "day_block", ["knot_second"]).drop("day_block")
-    return with_halo(placed, "position", block, before, after)
+    return with_halo(with_position(knots, keys, ["knot_second"]), "position", block, before, after)
 
 
 def upsample(

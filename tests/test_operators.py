@@ -16,15 +16,35 @@ START = D(2022, 1, 1)
 # Ordered blocks
 
 
-def test_running_totals_and_positions_over_blocks(spark):
+@pytest.fixture
+def uncoalesced(spark):
+    """Keep small data in several ranges."""
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    yield
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+
+
+def test_totals_positions_and_neighbours_over_ranges(spark, uncoalesced):
     rng = random.Random(1)
-    rows = [("ab"[i % 2], rng.uniform(0, 50), float(i)) for i in range(400)]
-    df = spark.createDataFrame(rows, "k string, at double, v double").withColumn("b", F.floor(F.col("at") / 7))
-    got = ordered.with_position(ordered.running_totals(df, ["k"], "b", ["at"], ["v"]), ["k"], "b", ["at"]).toPandas()
-    for _, part in got.groupby("k"):
-        part = part.sort_values("at")
+    # a key with most of the rows, and a third of all rows at one time
+    rows = [("aab"[i % 3], 25.0 if i % 3 == 0 else rng.uniform(0, 50), float(i)) for i in range(600)]
+    df = spark.createDataFrame(rows, "k string, at double, v double")
+    ranged = ordered.in_ranges(df, ["k"], ["at", "v"])
+    assert ranged.select("range_id").distinct().count() > 2
+    sizes = [r["count"] for r in ranged.groupBy("range_id").count().collect()]
+    assert max(sizes) < 400
+    totals = ordered.running_totals(ranged, ["k"], ["v"]).toPandas()
+    places = ordered.with_position(df, ["k"], ["at", "v"]).toPandas()
+    overall = ordered.with_position(df, [], ["at", "v"]).toPandas()
+    ahead = ordered.with_next(df, ["k"], "v", "following").toPandas()
+    for key in "ab":
+        part = totals[totals["k"] == key].sort_values(["at", "v"])
         assert np.allclose(part["cum_v"], part["v"].cumsum())
+        part = places[places["k"] == key].sort_values(["at", "v"])
         assert list(part["position"]) == list(range(len(part)))
+        part = ahead[ahead["k"] == key].sort_values("v")
+        assert np.array_equal(part["following"], part["v"].shift(-1), equal_nan=True)
+    assert list(overall.sort_values(["at", "v"])["position"]) == list(range(600))
 
 
 def test_lookup_on_axis(spark):
@@ -106,7 +126,7 @@ def brute_as_of(rows, as_of):
     return {(k, v, *x) for (k, v), x in best.items()}
 
 
-def test_as_of_one_and_many(spark):
+def test_as_of_one_and_many(spark, uncoalesced):
     rows = forecast_rows()
     df = spark.createDataFrame(rows, "k string, forecast_time timestamp_ntz, creation_time timestamp_ntz, temp_F long")
     moments = [START + timedelta(hours=h) for h in (0, 24, 25, 100, 177, 500)] + [rows[0][2], rows[1][1]]
@@ -122,7 +142,7 @@ def test_as_of_one_and_many(spark):
 # Series
 
 
-def test_median_filter_against_pandas_across_blocks(spark):
+def test_median_filter_against_pandas_across_blocks(spark, uncoalesced):
     rng = np.random.default_rng(4)
     frames = []
     for key, n in (("long", 700), ("short", 30), ("tiny", 5)):
@@ -249,7 +269,7 @@ def brute_median(points, w):
 
 
 @pytest.mark.parametrize(("seed", "horizons", "w"), [(1, range(1, 30), 20), (2, [1, 2, 2, 2, 2, 2, 9], 60), (3, [5], 7), (4, range(200), 150)])
-def test_rolling_against_brute_force(spark, seed, horizons, w):
+def test_rolling_against_brute_force(spark, uncoalesced, seed, horizons, w):
     points = horizon_points(seed, list(horizons), 150)
     df = spark.createDataFrame(points, SHAPE)
     means = {r.horizon: r.m for r in rolling.rolling_means(df, {"m": F.col("x")}, w).collect()}
