@@ -78,20 +78,20 @@ def with_next(df: DataFrame, keys: Sequence[str], order: str, name: str) -> Data
     ranged = in_ranges(df, keys, [order])
     seen = F.struct(*keys, F.col(order).alias("at"))
     inside = Window.partitionBy("range_id").orderBy("range_row")
-    starts = ranged.filter(F.col("range_row") == 0).select("range_id", seen.alias("start"))
+    starts = ranged.filter(F.col("range_row") == 0).select("range_id", seen.alias("_start"))
     across = Window.partitionBy(F.lit(0)).orderBy("range_id")
     # one row per range: what the next range starts with
-    bridges = starts.select("range_id", F.lead("start").over(across).alias("next_start"))
+    bridges = starts.select("range_id", F.lead("_start").over(across).alias("_next_start"))
     linked = (
-        ranged.withColumn("following", F.lead(seen).over(inside))
+        ranged.withColumn("_following", F.lead(seen).over(inside))
         .join(F.broadcast(bridges), "range_id")
-        .withColumn("following", F.coalesce("following", "next_start"))
+        .withColumn("_following", F.coalesce("_following", "_next_start"))
     )
     same = F.lit(True)
     for k in keys:
-        same = same & (F.col(f"following.{k}") == F.col(k))
-    return linked.withColumn(name, F.when(same, F.col("following.at"))).drop(
-        "range_id", "range_row", "following", "next_start"
+        same = same & (F.col(f"_following.{k}") == F.col(k))
+    return linked.withColumn(name, F.when(same, F.col("_following.at"))).drop(
+        "range_id", "range_row", "_following", "_next_start"
     )
 
 
@@ -146,19 +146,26 @@ def lookup_on_axis(
                 )
             ).alias("slice"),
         )
-        .select(*keys, "slice", F.greatest("span_start", F.col("slice") * F.col("w")).cast("double").alias("at"), "held")
-        .withColumns({"is_point": F.lit(0), "row": F.lit(None)})
+        .select(
+            *keys,
+            "slice",
+            F.greatest("span_start", F.col("slice") * F.col("w")).cast("double").alias("at"),
+            F.col("span_start").cast("double").alias("since"),
+            "held",
+            F.lit(0).alias("is_point"),
+        )
     )
     asked = points.select(
         *keys,
         F.floor(F.col(point) / width).alias("slice"),
         F.col(point).cast("double").alias("at"),
+        F.lit(None).cast("double").alias("since"),
         F.lit(None).cast(sliced.schema["held"].dataType).alias("held"),
         F.lit(1).alias("is_point"),
         F.struct(*[F.col(c) for c in points.columns if c not in keys]).alias("row"),
     )
     sliced = sliced.withColumn("row", F.lit(None).cast(asked.schema["row"].dataType))
-    fill = Window.partitionBy(*keys, "slice").orderBy("at", "is_point").rowsBetween(Window.unboundedPreceding, 0)
+    fill = Window.partitionBy(*keys, "slice").orderBy("at", "is_point", "since").rowsBetween(Window.unboundedPreceding, 0)
     return (
         sliced.unionByName(asked)
         .withColumn("held", F.last("held", ignorenulls=True).over(fill))
