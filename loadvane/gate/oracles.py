@@ -115,6 +115,14 @@ PARTS = {
         FROM cuts JOIN daily ON ds <= cutoff GROUP BY cutoff""",
     "cv": """SELECT temp_F, ds, y, round(base + slope * temp_F, 4) AS yhat, cutoff
         FROM fits JOIN daily ON ds > cutoff AND ds <= cutoff + INTERVAL 10 DAY""",
+    "run_fits": """SELECT 'with-intercept' AS run_id, cutoff, slope, base FROM fits UNION ALL
+        SELECT 'through-origin', cutoff, sum(temp_F * y) / sum(temp_F * temp_F), 0.0::DOUBLE
+        FROM cuts JOIN daily ON ds <= cutoff GROUP BY cutoff""",
+    "run_points": """SELECT run_id, y, base + slope * temp_F AS yhat
+        FROM run_fits JOIN daily ON ds > cutoff AND ds <= cutoff + INTERVAL 10 DAY""",
+    "runs": """SELECT run_id, avg(pow(y - yhat, 2)) AS mse, sqrt(avg(pow(y - yhat, 2))) AS rmse, avg(abs(y - yhat)) AS mae,
+        avg(abs((y - yhat) / y)) AS mape, quantile_cont(abs((y - yhat) / y), 0.5) AS mdape,
+        avg(abs(y - yhat) / ((abs(y) + abs(yhat)) / 2)) AS smape FROM run_points GROUP BY run_id""",
     "points": """SELECT epoch(ds - cutoff)::DOUBLE AS horizon, ds, cutoff, y, yhat, (y - yhat) * (y - yhat) AS se, abs(y - yhat) AS ae,
         abs((y - yhat) / nullif(y, 0)) AS ape, abs(y - yhat) / nullif((abs(y) + abs(yhat)) / 2, 0) AS sape,
         CASE WHEN y BETWEEN yhat * 0.9::DOUBLE AND yhat * 1.1::DOUBLE THEN 1.0 ELSE 0.0 END::DOUBLE AS hit FROM cv""",
@@ -341,6 +349,10 @@ ORACLES = {
         (SELECT regr_slope(value, temp_F) AS slope, regr_intercept(value, temp_F) AS base FROM shipments)"""),
     "cv_cutoffs": sql("SELECT cutoff FROM cuts"),
     "cv_univariate": sql(f"SELECT temp_F, ds, y, {r('yhat', 'yhat')}, cutoff FROM cv"),
+    "run_log": sql(f"SELECT run_id, {', '.join(r(m, m, 4) for m in ALL[:-1])} FROM runs"),
+    "best_run": sql(f"SELECT run_id, {r('rmse', 'rmse', 4)} FROM runs ORDER BY runs.rmse, run_id LIMIT 1"),
+    "model_roundtrip": sql(f"""SELECT ds, y, {r('base + slope * temp_F', 'predicted', 4)} FROM daily,
+        (SELECT regr_slope(y, temp_F) AS slope, regr_intercept(y, temp_F) AS base FROM daily)"""),
     "prediction_frame": sql(f"""SELECT lat, lon, forecast_time AS energy_timestamp_mtn, {r('base + slope * temp_F', 'predicted_energy_demand', 4)},
         temp_F AS temp_f_forecast, 'run-1' AS model_version, {AS_OF} AS prediction_start_date,
         TIMESTAMP '2024-01-15 06:00:00' AS prediction_creation_date FROM newest,

@@ -526,33 +526,33 @@ def cv_full(t):
     return regression.cross_validate(featured_daily(t), "ds", training.FEATURES, "y", **CV)
 
 
-def _logged_runs(t: Tables) -> str:
+def _logged_runs(t: Tables) -> DataFrame:
     root = fresh_dir(t.spark, "runs")
-    rows = featured_daily(t)
-    for run_id, features in (("all-features", training.FEATURES), ("temperature", ["temp_F"])):
-        training.train_run(rows, "ds", "y", run_id, root, features, **CV)
-    return f"{root}/runs"
+    for run_id, intercept in (("with-intercept", True), ("through-origin", False)):
+        training.train_run(t.daily_demand(), "ds", "y", run_id, root, ["temp_F"], intercept=intercept, **CV)
+    return training.read_runs(t.spark, f"{root}/runs")
 
 
 @query
 def run_log(t):
-    runs = training.read_runs(t.spark, _logged_runs(t))
-    value = lambda name: F.try_element_at("metrics", F.lit(name)).alias(name)
-    return runs.select("run_id", value("mse"), value("rmse"), value("mae"), value("mape"), value("mdape"), value("smape"))
+    logged = ["mse", "rmse", "mae", "mape", "mdape", "smape"]
+    return _logged_runs(t).select(
+        "run_id", *[F.round(F.try_element_at("metrics", F.lit(m)), 4).alias(m) for m in logged]
+    )
 
 
 @query
 def best_run(t):
-    return training.best_run(training.read_runs(t.spark, _logged_runs(t)))
+    return training.best_run(_logged_runs(t)).withColumn("rmse", F.round("rmse", 4))
 
 
 @query
 def model_roundtrip(t):
-    rows = featured_daily(t)
+    rows = t.daily_demand()
     root = fresh_dir(t.spark, "models")
-    training.save_model(t.spark, regression.fit_ols(rows, training.FEATURES, "y"), root, RUN)
-    loaded = training.load_model(t.spark, root, RUN)
-    return loaded.predict(rows).select("ds", "y", "predicted")
+    training.save_model(t.spark, regression.fit_ols(rows, ["temp_F"], "y"), root, RUN)
+    scored = training.load_model(t.spark, root, RUN).predict(rows)
+    return scored.select("ds", "y", F.round("predicted", 4).alias("predicted"))
 
 
 @query

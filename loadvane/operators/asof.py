@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loadvane.operators.ordered import with_next
+from loadvane.session import broadcast_if_small
 
 
 def _newest(df: DataFrame, keys: Sequence[str], values: Sequence[str]) -> DataFrame:
@@ -51,7 +52,7 @@ def forecast_as_of_many(
     )
     days = F.sequence(F.to_date("creation_time"), F.to_date("until"))
     by_day = spans.withColumn("day", F.explode(days))
-    asked = moments.select(F.col(moment), F.to_date(moment).alias("day")).distinct()
+    asked = broadcast_if_small(moments.select(F.col(moment), F.to_date(moment).alias("day")).distinct())
     m = F.col(moment)
     return (
         by_day.join(asked, "day")
