@@ -15,7 +15,8 @@ from pyspark.sql import functions as F
 
 from loadvane.session import settle
 
-AXIS_SLICES = 1024
+# rows per slice of an axis of row counts
+SLICE_ROWS = 100_000
 # monotonically_increasing_id: the partition above these bits, the row's place in it below
 ROW_BITS = 33
 
@@ -125,7 +126,7 @@ def lookup_on_axis(
     start: str,
     end: str,
     values: Sequence[str],
-    width: Column,
+    width: int = SLICE_ROWS,
     keys: Sequence[str] = (),
 ) -> DataFrame:
     """For each point the ``values`` of the span with ``start <= point < end``.
@@ -135,21 +136,22 @@ def lookup_on_axis(
     points: linear in points and spans, no pairs. Points outside all spans are dropped.
     """
     held = F.struct(*[F.col(v).alias(v) for v in values], F.col(end).alias("span_end"))
+    w = F.lit(float(width))
     sliced = (
         spans.filter(F.col(start) < F.col(end))
-        .select(*keys, F.col(start).alias("span_start"), held.alias("held"), width.alias("w"))
+        .select(*keys, F.col(start).alias("span_start"), held.alias("held"))
         .select(
             "*",
             F.explode(
                 F.sequence(
-                    F.floor(F.col("span_start") / F.col("w")), F.floor(F.col("held.span_end") / F.col("w"))
+                    F.floor(F.col("span_start") / w), F.floor(F.col("held.span_end") / w)
                 )
             ).alias("slice"),
         )
         .select(
             *keys,
             "slice",
-            F.greatest("span_start", F.col("slice") * F.col("w")).cast("double").alias("at"),
+            F.greatest("span_start", F.col("slice") * w).cast("double").alias("at"),
             F.col("span_start").cast("double").alias("since"),
             "held",
             F.lit(0).alias("is_point"),
@@ -157,7 +159,7 @@ def lookup_on_axis(
     )
     asked = points.select(
         *keys,
-        F.floor(F.col(point) / width).alias("slice"),
+        F.floor(F.col(point) / w).alias("slice"),
         F.col(point).cast("double").alias("at"),
         F.lit(None).cast("double").alias("since"),
         F.lit(None).cast(sliced.schema["held"].dataType).alias("held"),

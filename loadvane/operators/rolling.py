@@ -6,15 +6,13 @@ with fewer than ``w`` points up to and including them give no row.
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loadvane.operators.ordered import AXIS_SLICES, in_ranges, lookup_on_axis, running_totals, with_position
+from loadvane.operators.ordered import SLICE_ROWS, in_ranges, lookup_on_axis, running_totals, with_position
 from loadvane.operators.quantiles import exact_quantiles
-from loadvane.session import settle
 
 
 def rolling_means(df: DataFrame, measures: dict[str, Column], w: int) -> DataFrame:
@@ -42,7 +40,6 @@ def rolling_means(df: DataFrame, measures: dict[str, Column], w: int) -> DataFra
         ).alias("cell"),
     ).select("horizon", "cell.*").filter(F.col("n") > 0)
     ranged = in_ranges(long, ["metric"], ["horizon"])
-    points = ranged.groupBy("metric").agg(F.sum("n").alias("n")).agg(F.max("n")).first()[0] or 0
     totals = running_totals(ranged, ["metric"], ["x", "n"])
     curve = totals.select(
         "metric",
@@ -54,10 +51,9 @@ def rolling_means(df: DataFrame, measures: dict[str, Column], w: int) -> DataFra
     asked = totals.filter(F.col("cum_n") >= w).select(
         "metric", "horizon", "cum_x", (F.col("cum_n") - w).cast("double").alias("left_edge")
     )
-    # positions are counts of rows, so equal slices of this axis hold equal numbers of rows
-    slice_width = F.lit(max(points / AXIS_SLICES, 1.0))
+    # the axis counts rows, so a slice of it holds at most its width in horizons
     found = lookup_on_axis(
-        asked, "left_edge", curve, "n_from", "n_to", ["n_from", "x_from", "rate"], slice_width, keys=["metric"]
+        asked, "left_edge", curve, "n_from", "n_to", ["n_from", "x_from", "rate"], keys=["metric"]
     )
     behind = F.col("x_from") + (F.col("left_edge") - F.col("n_from")) * F.col("rate")
     means = found.select("metric", "horizon", ((F.col("cum_x") - behind) / w).alias("mean"))
@@ -73,26 +69,24 @@ def rolling_median(df: DataFrame, measure: Column, name: str, w: int, order: Seq
     the topped-up part meet other horizons, in an equi-join on slices of the positions.
     """
     points = df.select("horizon", *order, measure.cast("double").alias("x"))
-    placed = settle(with_position(points, [], ["horizon", *order, "x"]), "horizon-points")
+    placed = with_position(points, [], ["horizon", *order, "x"])
     totals = placed.groupBy("horizon").agg(
         F.count(F.lit(1)).alias("n"), (F.max("position") + 1).alias("cum_n")
     )
-    rows = placed.count()
     answered = totals.filter(F.col("cum_n") >= w)
     own = placed.join(answered.select("horizon"), "horizon").select("horizon", "x")
 
     # windows that reach back: positions from cum_n - w up to their own first point
-    width = max(math.ceil(rows / AXIS_SLICES), 1)
     reaching = answered.filter(F.col("n") < w).select(
         F.col("horizon").alias("window"),
         (F.col("cum_n") - w).alias("reach_from"),
         (F.col("cum_n") - F.col("n")).alias("reach_to"),
     ).withColumn(
         "slice",
-        F.explode(F.sequence(F.floor(F.col("reach_from") / width), F.floor((F.col("reach_to") - 1) / width))),
+        F.explode(F.sequence(F.floor(F.col("reach_from") / SLICE_ROWS), F.floor((F.col("reach_to") - 1) / SLICE_ROWS))),
     )
     topped = (
-        placed.withColumn("slice", F.floor(F.col("position") / width))
+        placed.withColumn("slice", F.floor(F.col("position") / SLICE_ROWS))
         .join(reaching, "slice")
         .filter((F.col("position") >= F.col("reach_from")) & (F.col("position") < F.col("reach_to")))
         .select(F.col("window").alias("horizon"), "x")

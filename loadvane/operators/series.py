@@ -40,10 +40,19 @@ def median_filter(
     frame = (
         Window.partitionBy(*keys, "halo_block").orderBy("position").rowsBetween(-back, ahead)
     )
-    middle, sigma = F.percentile(value, 0.5).over(frame), F.stddev_samp(value).over(frame)
-    judged = blocked.withColumns(
-        {"middle": middle, "sigma": sigma, "seen": F.count(value).over(frame)}
-    ).filter("is_core")
+    judged = (
+        blocked.withColumns(
+            {
+                "around": F.collect_list(value).over(frame),
+                "sigma": F.stddev_samp(value).over(frame),
+                "seen": F.count(value).over(frame),
+            }
+        )
+        .filter("is_core")
+        .withColumn("around", F.array_sort("around"))
+        # of a full window: the mean of the two middle values, which are one if its width is odd
+        .withColumn("middle", (F.get("around", F.lit((window - 1) // 2)) + F.get("around", F.lit(window // 2))) / 2)
+    )
     reach = F.col("sigma") * n_sigmas
     kept = (F.col("seen") == window) & F.col(value).between(F.col("middle") - reach, F.col("middle") + reach)
     return judged.withColumn(value, F.when(kept, F.col(value))).select(*df.columns)

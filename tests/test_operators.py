@@ -54,7 +54,7 @@ def test_lookup_on_axis(spark):
     )
     points = [0.0, 3.49, 3.5, 3.9, 4.0, 35.0, 59.99, 60.5, 61.0, -1.0]
     asked = spark.createDataFrame([("k", p) for p in points], "k string, p double")
-    got = ordered.lookup_on_axis(asked, "p", spans, "a", "b", ["i"], F.lit(10.0), keys=["k"])
+    got = ordered.lookup_on_axis(asked, "p", spans, "a", "b", ["i"], width=10, keys=["k"])
     expected = {p: int(np.searchsorted(edges, p, side="right") - 1) for p in points if 0 <= p < 61}
     assert {r.p: r.i for r in got.collect()} == expected
 
