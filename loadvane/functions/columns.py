@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Fixed values of the station file format and the quality gate.
 MISSING_SCALED = 999.9
@@ -18,6 +19,13 @@ def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def strict_cast(value: Column | str, kind: T.DataType | str) -> Column:
+    """Cast that stops the job on a value that does not fit, whatever the ANSI setting."""
+    cast = _col(value).try_cast(kind)
+    bad = F.raise_error(F.concat(F.lit("value does not fit its column: "), _col(value).cast("string")))
+    return F.when(_col(value).isNotNull() & cast.isNull(), bad).otherwise(cast)
+
+
 def split_scaled(field: Column | str) -> tuple[Column, Column]:
     """``"+0123,1"`` to the value 12.3 and the flag ``"1"``; +9999 means missing."""
     parts = F.split(_col(field), ",")

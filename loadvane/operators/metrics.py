@@ -11,6 +11,7 @@ from loadvane.functions.timefn import seconds_between
 from loadvane.operators.rolling import rolling_means, rolling_median
 from loadvane.session import settle
 
+# The metric names and the bound under which an actual counts as zero.
 METRICS = ["mse", "rmse", "mae", "mape", "mdape", "smape", "coverage"]
 NEAR_ZERO = 1e-8
 

@@ -12,6 +12,7 @@ from loadvane.functions.timefn import MOUNTAIN, hours_between, ntz, to_local, tr
 from loadvane.operators.joins import left_join_fan_out
 from loadvane.session import broadcast_if_small
 
+# The series of actual demand and of the utility's day-ahead forecast.
 ACTUAL_SERIES = "EBA_PSCO-ALL_D_H"
 UTILITY_FORECAST_SERIES = "EBA_PSCO-ALL_DF_H"
 

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loadvane import schemas
-from loadvane.functions.columns import normalize_series_id, split_scaled
+from loadvane.functions.columns import normalize_series_id, split_scaled, strict_cast
 from loadvane.functions.timefn import parse_compact_hour, parse_epoch, parse_iso
 
 # Fixed value: the hour stamp in landed file names.
@@ -152,7 +152,7 @@ def parse_forecast_xml(df: DataFrame, text: str = "value") -> DataFrame:
         parse_iso("pair.times").alias("forecast_time"),
         F.col("point._longitude").alias("lon"),
         F.col("point._latitude").alias("lat"),
-        F.col("pair.temps").cast("long").alias("temp_F"),
+        strict_cast("pair.temps", "long").alias("temp_F"),
         "creation_time",
     )
 

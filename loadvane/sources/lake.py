@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from loadvane import schemas
+from loadvane.functions.columns import strict_cast
 
 # kind of staged data: its schema and the columns its folders are keyed by
 STAGED: dict[str, tuple[T.StructType, tuple[str, ...]]] = {
@@ -23,7 +24,15 @@ STAGED: dict[str, tuple[T.StructType, tuple[str, ...]]] = {
 
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     """Exactly the columns of ``schema``, cast to its types; a missing column or a bad value is an error."""
-    return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema])
+    return df.select(*_typed(df, schema))
+
+
+def _typed(df: DataFrame, schema: T.StructType) -> list[Column]:
+    found = {f.name.lower(): f.dataType for f in df.schema}
+    return [
+        (F.col(f.name) if found.get(f.name.lower()) == f.dataType else strict_cast(f.name, f.dataType)).alias(f.name)
+        for f in schema
+    ]
 
 
 def write_typed(
@@ -31,7 +40,7 @@ def write_typed(
 ) -> None:
     """Schema-enforced Parquet; with partitions, ``overwrite`` replaces only those present in ``df``."""
     extra = [F.col(c) for c in partition_by if c not in schema.fieldNames()]
-    typed = df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema], *extra)
+    typed = df.select(*_typed(df, schema), *extra)
     writer = typed.write.mode(mode)
     if partition_by:
         writer = writer.partitionBy(*partition_by).option("partitionOverwriteMode", "dynamic")

@@ -111,6 +111,12 @@ def test_forecast_xml_with_unequal_lists_stops(spark):
         documents.parse_forecast_xml(df).collect()
 
 
+def test_forecast_xml_with_a_value_that_is_no_number_stops(spark):
+    df = spark.createDataFrame([(forecast_xml(["2022-07-05T18:00:00-06:00"], ["warm"]),)], "value string")
+    with pytest.raises(Exception, match="does not fit"):
+        documents.parse_forecast_xml(df).collect()
+
+
 def test_reprocess_picks_files_by_hour(spark, tmp_path):
     for hour in range(5):
         (tmp_path / f"2022-07-01-{hour:02d}.json").write_text(json.dumps(live_doc(dt=1656633600 + 3600 * hour, temp=hour)))
@@ -118,7 +124,16 @@ def test_reprocess_picks_files_by_hour(spark, tmp_path):
     assert sorted(r.temp for r in got.collect()) == [1.0, 2.0, 3.0]
 
 
-def test_typed_write_refuses_bad_values_and_missing_columns(spark, tmp_path):
+@pytest.mark.parametrize("ansi", ["true", "false"])
+def test_typed_write_refuses_bad_values_and_missing_columns(spark, tmp_path, ansi):
+    spark.conf.set("spark.sql.ansi.enabled", ansi)
+    try:
+        check_typed_write(spark, tmp_path)
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", "true")
+
+
+def check_typed_write(spark, tmp_path):
     good = spark.sql("SELECT timestamp'2022-01-01' AS timestamp, 1 AS value, 's' AS series_id")
     lake.write_typed(good, schemas.DEMAND_DATA, str(tmp_path / "t"))
     assert spark.read.parquet(str(tmp_path / "t")).schema["value"].dataType == schemas.DEMAND_DATA["value"].dataType
