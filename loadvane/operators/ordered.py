@@ -21,6 +21,13 @@ SLICE_ROWS = 100_000
 ROW_BITS = 33
 
 
+def _per_key(df: DataFrame, small: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Inner join on ``keys`` in which a null key is a key like any other."""
+    renamed = small.withColumnsRenamed({k: f"_key_{k}" for k in keys})
+    same = [F.col(k).eqNullSafe(F.col(f"_key_{k}")) for k in keys]
+    return df.join(renamed, same).drop(*[f"_key_{k}" for k in keys])
+
+
 def in_ranges(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     """Sort by ``keys`` then ``order`` into stored ranges; adds ``range_id`` and ``range_row``."""
     by = [*keys, *order]
@@ -51,9 +58,9 @@ def running_totals(ranged: DataFrame, keys: Sequence[str], sums: Sequence[str])
             "range_id", *keys, *[F.coalesce(F.sum(f"range_{s}").over(earlier), F.lit(0)).alias(f"before_{s}") for s in sums]
         )
     )
+    local = ranged.withColumns({f"cum_{s}": F.sum(s).over(inside) for s in sums})
     return (
-        ranged.withColumns({f"cum_{s}": F.sum(s).over(inside) for s in sums})
-        .join(offsets, ["range_id", *keys])
+        _per_key(local, offsets, ["range_id", *keys])
         .withColumns({f"cum_{s}": F.col(f"cum_{s}") + F.col(f"before_{s}") for s in sums})
         .drop(*[f"before_{s}" for s in sums])
     )
@@ -71,7 +78,7 @@ def with_position(df: DataFrame, keys: Sequence[str], order: Sequence[str], name
     if not keys:
         return placed
     first = placed.groupBy(*keys).agg(F.min(name).alias("key_start"))
-    return placed.join(first, [*keys]).withColumn(name, F.col(name) - F.col("key_start")).drop("key_start")
+    return _per_key(placed, first, keys).withColumn(name, F.col(name) - F.col("key_start")).drop("key_start")
 
 
 def with_next(df: DataFrame, keys: Sequence[str], order: str, name: str) -> DataFrame:
@@ -90,7 +97,7 @@ def with_next(df: DataFrame, keys: Sequence[str], order: str, name: str) -> Data
     )
     same = F.lit(True)
     for k in keys:
-        same = same & (F.col(f"_following.{k}") == F.col(k))
+        same = same & F.col(f"_following.{k}").eqNullSafe(F.col(k))
     return linked.withColumn(name, F.when(same, F.col("_following.at"))).drop(
         "range_id", "range_row", "_following", "_next_start"
     )

@@ -27,7 +27,8 @@ def uncoalesced(spark):
 def test_totals_positions_and_neighbours_over_ranges(spark, uncoalesced):
     rng = random.Random(1)
     # a key with most of the rows, and a third of all rows at one time
-    rows = [("aab"[i % 3], 25.0 if i % 3 == 0 else rng.uniform(0, 50), float(i)) for i in range(600)]
+    # and one without a key at all
+    rows = [(["a", "a", "b", None][i % 4], 25.0 if i % 3 == 0 else rng.uniform(0, 50), float(i)) for i in range(600)]
     df = spark.createDataFrame(rows, "k string, at double, v double")
     ranged = ordered.in_ranges(df, ["k"], ["at", "v"])
     assert ranged.select("range_id").distinct().count() > 2
@@ -37,7 +38,9 @@ def test_totals_positions_and_neighbours_over_ranges(spark, uncoalesced):
     places = ordered.with_position(df, ["k"], ["at", "v"]).toPandas()
     overall = ordered.with_position(df, [], ["at", "v"]).toPandas()
     ahead = ordered.with_next(df, ["k"], "v", "following").toPandas()
-    for key in "ab":
+    totals, places, ahead = (pdf.fillna({"k": "none"}) for pdf in (totals, places, ahead))
+    assert len(totals) == len(places) == len(ahead) == 600
+    for key in ("a", "b", "none"):
         part = totals[totals["k"] == key].sort_values(["at", "v"])
         assert np.allclose(part["cum_v"], part["v"].cumsum())
         part = places[places["k"] == key].sort_values(["at", "v"])
