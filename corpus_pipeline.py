@@ -10,14 +10,27 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from loadvane.llm import bpe, mixing
+from loadvane.llm import bpe, jaccard, mixing, toxicity
 from loadvane.llm.common import store, table
-from loadvane.llm.queries import RANKS, SOURCE_WEIGHTS
+from loadvane.llm.queries import RANKS, SOURCE_WEIGHTS, TOXIC_SCORE, train_toxicity
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents whose toxicity is below the bound of the toxicity query."""
+    model = train_toxicity(spark, sf_dir)
+    scored = toxicity.score(docs, model, {c: F.col(c) for c in docs.columns})
+    return scored.where(F.col("score") < TOXIC_SCORE).select(*docs.columns)
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document, that of the smallest id, of each class of near copies."""
+    return jaccard.keep_one(docs)
+
+
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document as often as the mix of its source takes it, sources weighing 3, 1, 2, ..."""
     weights = mixing.cyclic_weights(docs.select("source").distinct(), SOURCE_WEIGHTS)
@@ -30,6 +43,8 @@ def encode_texts(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 STAGES: list[tuple[str, Stage]] = [
+    ("toxicity", drop_toxic),
+    ("near_duplicates", drop_near_copies),
     ("mixing", mix_sources),
     ("byte_bpe", encode_texts),
 ]

@@ -5,10 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loadvane.llm import bpe, mixing, sharding, tokenfile
+from loadvane.llm import annscan, bpe, jaccard, licenses, mixing, pivots, sharding, tokenfile, toxicity, urlrules
 from loadvane.llm.common import octets, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -16,6 +16,14 @@ Query = Callable[[SparkSession, str], DataFrame]
 RANKS = "byte_bpe_50k.tiktoken"
 SOURCE_WEIGHTS = (3, 1, 2)
 SHARDS = 40
+#: A score from which a text counts as toxic, and every how many-th vector is a query.
+TOXIC_SCORE, QUERY_STEP, NEAREST = 0.3, 20, 20
+URL_RULES = (
+    urlrules.Rule("block", "net", "/"),
+    urlrules.Rule("allow", "example.net", "/en/"),
+    urlrules.Rule("block", "example.com", "/de/"),
+    urlrules.Rule("allow", "org", "/fr/"),
+)
 
 
 def op1_mixing(spark: SparkSession, folder: str) -> DataFrame:
@@ -39,6 +47,23 @@ def op2_token_files(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def toxicity_fold() -> Column:
+    """The remainder that decides whether a row's label may be learned from."""
+    return F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4
+
+
+def train_toxicity(spark: SparkSession, folder: str) -> toxicity.Model:
+    labels = table(spark, folder, "labels").where(toxicity_fold() != 2)
+    return toxicity.train(table(spark, folder, "documents"), labels.select(F.col("doc_id").alias("id"), "toxic"))
+
+
+def op3_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    model = train_toxicity(spark, folder)
+    held_out = F.coalesce(toxicity_fold() == 2, F.lit(False))
+    scored = toxicity.score(table(spark, folder, "documents"), model, {"doc_id": F.col("doc_id"), "held_out": held_out})
+    return scored.withColumn("predicted", F.when(F.col("score") >= TOXIC_SCORE, 1).otherwise(0))
+
+
 def op4_kd_shards(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
     text = F.coalesce(F.col("text"), F.lit(""))
@@ -67,11 +92,52 @@ def op4_kd_shards(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op5_url_rules(spark: SparkSession, folder: str) -> DataFrame:
+    labels = table(spark, folder, "labels")
+    # a page carries the label of the document with its number
+    blocked = (F.col("quality") == 0) | (F.col("toxic") == 1)
+    known = labels.select(F.col("doc_id").alias("id"), F.coalesce(blocked, F.lit(False)).alias("blocked"))
+    return urlrules.judge(table(spark, folder, "pages"), known, URL_RULES)
+
+
+def op6_licenses(spark: SparkSession, folder: str) -> DataFrame:
+    return licenses.scan(table(spark, folder, "documents"), licenses.PHRASES, licenses.NOTICES)
+
+
+def op7_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    return jaccard.near_duplicates(table(spark, folder, "documents")).select("doc_id", "class_id", "n_links")
+
+
+def op8_ann_scan(spark: SparkSession, folder: str) -> DataFrame:
+    vectors = table(spark, folder, "embeddings")
+    return annscan.nearest(vectors, "vec_id", F.col("embedding"), F.col("id") % QUERY_STEP == 0, NEAREST)
+
+
+def op9_pivot_search(spark: SparkSession, folder: str) -> DataFrame:
+    vectors = table(spark, folder, "embeddings")
+    # not-a-number and infinity stay what they are, so that such vectors take no part
+    whole = F.transform(F.col("embedding").cast("array<double>"), lambda x: F.when(F.abs(x) < float("inf"), F.floor(x * 64).cast("double")))
+    found = pivots.top_k(vectors, "vec_id", whole, F.col("id") % QUERY_STEP == 0, NEAREST)
+    return found.withColumn("score", F.round("score").cast("long"))
+
+
 def op10_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
     return bpe.digest(docs, public_tokenizers.path(RANKS), public_tokenizers.PATTERN)
 
 
 QUERIES: dict[str, Query] = {
-    f.__name__: f for f in (op1_mixing, op2_token_files, op4_kd_shards, op10_byte_bpe)
+    f.__name__: f
+    for f in (
+        op1_mixing,
+        op2_token_files,
+        op3_toxicity,
+        op4_kd_shards,
+        op5_url_rules,
+        op6_licenses,
+        op7_jaccard_join,
+        op8_ann_scan,
+        op9_pivot_search,
+        op10_byte_bpe,
+    )
 }

@@ -49,37 +49,54 @@ REMEMBERED, STEP_ROWS = 500_000, 500
 class Encoder:
     """A tokenizer file with a memory of the pieces between blanks.
 
-    ``splits`` are characters that the tokenizer drops, so that no token crosses them: a text's
-    ids are those of its pieces one after another.
+    Blanks are characters that the tokenizer drops, so that no token crosses them: a text's ids
+    are those of its pieces one after another. A piece of letters with one comma or full stop
+    behind, and the case of ASCII letters, need no encoding of their own for this tokenizer,
+    which lowers the case and cuts between letters and signs.
     """
 
-    def __init__(self, path: str, splits: str = " \n\t\r"):
+    def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.blanks = str.maketrans(dict.fromkeys(splits, " "))
         self._forget()
 
     def _forget(self) -> None:
         self.numbers: dict[str, int] = {}
         self.begin, self.count = np.zeros(0, np.int64), np.zeros(0, np.int64)
         self.flat = np.zeros(0, np.uint32)
+        self.words: dict[str, list[int]] = {}
+
+    def _parts(self, piece: str) -> tuple[str, ...]:
+        body, sign = (piece[:-1], piece[-1]) if piece[-1] in ",." else (piece, "")
+        if not body.isalpha():
+            body, sign = piece, ""
+        body = body.lower() if body.isascii() else body
+        return (body, sign) if sign else (body,)
+
+    def _learn(self, fresh: list[str]) -> None:
+        parts = [self._parts(p) for p in fresh]
+        words = self.words
+        new = [w for w in dict.fromkeys(chain.from_iterable(parts)) if w not in words]
+        words.update(zip(new, (e.ids for e in self.tokenizer.encode_batch_fast(new, add_special_tokens=False))))
+        lists = [words[p[0]] if len(p) == 1 else words[p[0]] + words[p[1]] for p in parts]
+        count = np.array([len(x) for x in lists], np.int64)
+        self.numbers.update(zip(fresh, range(len(self.numbers), len(self.numbers) + len(fresh))))
+        self.begin = np.r_[self.begin, len(self.flat) + np.cumsum(count) - count]
+        self.count = np.r_[self.count, count]
+        self.flat = np.r_[self.flat, np.fromiter(chain.from_iterable(lists), np.uint32)]
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """All ids one after another and how many each text has."""
         if len(self.numbers) > REMEMBERED:
             self._forget()
-        pieces = [[p for p in text.translate(self.blanks).split(" ") if p] for text in texts]
+        pieces = [
+            list(filter(None, t.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" "))) for t in texts
+        ]
         numbers = self.numbers
         fresh = [p for p in dict.fromkeys(chain.from_iterable(pieces)) if p not in numbers]
         if fresh:
-            lists = [e.ids for e in self.tokenizer.encode_batch_fast(fresh, add_special_tokens=False)]
-            count = np.array([len(x) for x in lists], np.int64)
-            flat = np.fromiter(chain.from_iterable(lists), np.uint32)
-            numbers.update(zip(fresh, range(len(numbers), len(numbers) + len(fresh))))
-            self.begin = np.r_[self.begin, len(self.flat) + np.cumsum(count) - count]
-            self.count = np.r_[self.count, count]
-            self.flat = np.r_[self.flat, flat]
+            self._learn(fresh)
         used = np.fromiter(map(numbers.__getitem__, chain.from_iterable(pieces)), np.int64)
         counts = self.count[used]
         upto = np.r_[0, np.cumsum(counts)]
