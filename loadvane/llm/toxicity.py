@@ -6,7 +6,7 @@ instead of losing it. A sentence's value at a landmark is the best of its words
 spaced single letters as one word), over the landmark's kernel with itself. Landmarks are the
 strings, with marks of a word's begin and end, whose presence best tells labelled documents
 apart; the Nyström map of the landmarks' kernel matrix (cubed, as the values are) turns a sentence's values into features of a linear machine with squared hinge
-loss. As labels are per document, a toxic one is represented by its most suspicious sentence,
+loss. As labels are per document, a toxic one is represented by its most suspicious sentences,
 chosen anew between rounds of training. A document's score is the logistic of its highest
 sentence margin.
 
@@ -35,7 +35,7 @@ TOXIC, CLEAN, TRAIN_BYTES, LANDMARKS = 3_000, 4_000, 20_000, 64
 #: Lengths of strings tried as landmarks, and the least number of toxic documents that hold one.
 GRAMS, SEEN = range(4, 9), 3
 #: Least difference of a landmark's frequencies in standard deviations, and least log odds.
-WORTH, ODDS = 6.0, 1.5
+WORTH, ODDS = 6.0, 1.8
 #: Share of a landmark's neighbouring characters that a word must hold to be compared with it.
 SHARED = 0.6
 #: A word whose values all stay below is taken for nothing.
@@ -323,9 +323,10 @@ def fit(texts: list[str], toxic: np.ndarray) -> Model:
     quiet = np.zeros((1, features.shape[1]))
     n_quiet = int((~toxic).sum())
     for _ in range(ROUNDS):
-        order = np.lexsort((-suspicion, of))
-        first = order[np.r_[True, np.diff(of[order]) > 0]] if len(order) else order
-        used = np.r_[first[bad[first]], np.flatnonzero(~bad)]
+        most = np.full(len(texts), -np.inf)
+        np.maximum.at(most, of, suspicion)
+        # witnesses: what is suspicious at least half as much as the text's worst sentence
+        used = np.flatnonzero(~bad | (suspicion >= np.minimum(most[of], np.maximum(most[of] / 2, 1e-3))))
         x = np.concatenate([features[used], quiet])
         sign = np.r_[np.where(bad[used], 1.0, -1.0), -1.0]
         solved = squared_hinge(x, sign, np.r_[np.ones(len(used)), max(1, n_quiet)])
