@@ -15,6 +15,7 @@ Training takes a bounded sample of labelled rows to the driver; scoring runs ove
 
 from __future__ import annotations
 
+from array import array
 from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -231,21 +232,42 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(self.slope * margins + self.offset, -30, 30)))
 
 
-def _where_grams(texts: list[str], rows: list[int], among: dict | None) -> dict[str, set[int]]:
-    """The texts that hold each string (those in ``among``, if given), with word begins and ends."""
-    words: dict[str, set[int]] = defaultdict(set)
-    for at in rows:
-        for chunk in set(texts[at].lower().split()):
-            words[bare(chunk)].add(at)
-    held: dict[str, set[int]] = defaultdict(set)
+def _where(texts: list[str], rows: list[int]) -> dict[str, int]:
+    """For each word the texts that hold it, as the bits of a number."""
+    words: dict[str, int] = defaultdict(int)
+    for bit, at in enumerate(rows):
+        for word in {bare(chunk) for chunk in texts[at].lower().split()}:
+            words[word] |= 1 << bit
+    return words
+
+
+def _grams(word: str, n: int) -> set[str]:
+    marked = BEGIN + word + END
+    return {marked[start : start + n] for start in range(len(marked) - n + 1)}
+
+
+def _frequent_grams(words: dict[str, int], n: int, least: int) -> dict[str, int]:
+    """The strings of n characters that at least ``least`` texts hold, with the texts as bits.
+
+    A table of counts by hash, of fixed size, first rules out nearly all of the rare ones.
+    """
+    mask = (1 << 22) - 1
+    most = array("I", bytes(4 * (mask + 1)))
     for word, where in words.items():
-        marked = BEGIN + word + END
-        for n in GRAMS:
-            for start in range(max(0, len(marked) - n + 1)):
-                gram = marked[start : start + n]
-                if among is None or gram in among:
-                    held[gram] |= where
-    return held
+        seen = where.bit_count()
+        for gram in _grams(word, n):
+            most[hash(gram) & mask] += seen
+    held: dict[str, int] = defaultdict(int)
+    for word, where in words.items():
+        for gram in _grams(word, n):
+            if most[hash(gram) & mask] >= least:
+                held[gram] |= where
+    return {g: d for g, d in held.items() if d.bit_count() >= least}
+
+
+def _deviation(seen: int, n_toxic: int, n_clean: int) -> float:
+    """Of the difference of two shares, if ``seen`` texts of both kinds hold the string."""
+    return float(np.sqrt((seen + 1) / (n_toxic + n_clean) * (1 / n_toxic + 1 / n_clean)))
 
 
 def choose_landmarks(texts: list[str], toxic: np.ndarray) -> dict[str, float]:
@@ -255,26 +277,32 @@ def choose_landmarks(texts: list[str], toxic: np.ndarray) -> dict[str, float]:
     left out. The order of ties is that of the strings. The value is the logarithm of how many
     times likelier the string is in a toxic text.
     """
-    held = _where_grams(texts, np.flatnonzero(toxic).tolist(), None)
-    held = {g: d for g, d in held.items() if len(d) >= SEEN}
-    clean = {g: len(d) for g, d in _where_grams(texts, np.flatnonzero(~toxic).tolist(), held).items()}
     n_toxic, n_clean = max(1, int(toxic.sum())), max(1, int((~toxic).sum()))
-
-    def worth(gram: str) -> float:
-        p, q = len(held[gram]) / n_toxic, clean.get(gram, 0) / n_clean
-        pooled = (len(held[gram]) + clean.get(gram, 0) + 1) / (n_toxic + n_clean)
-        return (p - q) / np.sqrt(pooled * (1 / n_toxic + 1 / n_clean))
-
-    def odds(gram: str) -> float:
-        return float(np.log((len(held[gram]) + 0.5) / n_toxic) - np.log((clean.get(gram, 0) + 0.5) / n_clean))
-
-    ranked = sorted(held, key=lambda g: (-worth(g), -len(g), g))
+    # fewer toxic texts than this do not reach WORTH even without a clean one
+    least = next((k for k in range(SEEN, n_toxic) if k / n_toxic >= WORTH * _deviation(k, n_toxic, n_clean)), n_toxic)
+    in_toxic, in_clean = _where(texts, np.flatnonzero(toxic).tolist()), _where(texts, np.flatnonzero(~toxic).tolist())
+    telling: list[tuple[float, str, int, float]] = []
+    for n in GRAMS:
+        held = _frequent_grams(in_toxic, n, least)
+        clean: dict[str, int] = defaultdict(int)
+        for word, where in in_clean.items():
+            for gram in _grams(word, n):
+                if gram in held:
+                    clean[gram] |= where
+        for gram, where in held.items():
+            seen, other = where.bit_count(), clean[gram].bit_count() if gram in clean else 0
+            worth = (seen / n_toxic - other / n_clean) / _deviation(seen + other, n_toxic, n_clean)
+            odds = float(np.log((seen + 0.5) / n_toxic) - np.log((other + 0.5) / n_clean))
+            if worth >= WORTH and odds > ODDS:
+                telling.append((worth, gram, where, odds))
     chosen: dict[str, float] = {}
-    for gram in ranked:
-        if len(chosen) >= LANDMARKS or worth(gram) < WORTH:
+    taken: list[int] = []
+    for _, gram, where, odds in sorted(telling, key=lambda t: (-t[0], -len(t[1]), t[1])):
+        if len(chosen) == LANDMARKS:
             break
-        if odds(gram) > ODDS and all(len(held[gram] & held[c]) < 0.8 * len(held[gram]) for c in chosen):
-            chosen[gram] = odds(gram)
+        if all((where & other).bit_count() < 0.8 * where.bit_count() for other in taken):
+            chosen[gram] = odds
+            taken.append(where)
     # a word that begins like a toxic one may be harmless if it ends there
     ended = [g + END for g in chosen if g[0] == BEGIN and g[-1] != END]
     return chosen | {g: 0.0 for g in ended if g not in chosen}
