@@ -243,7 +243,6 @@ ORACLES = {
     "typed_write_roundtrip": sql("SELECT timestamp, value, series_id FROM demand"),
     "overwrite_twice": sql("SELECT * FROM demand"),
     "append_twice": sql("SELECT * FROM demand UNION ALL SELECT * FROM demand"),
-    "model_test_limit": sql("SELECT * FROM raw_fact WHERE series_id = 'view' ORDER BY timestamp_UTC, value LIMIT 100"),
     # scalar functions
     "local_time": f"""SELECT o_orderkey, {local('o_orderdate + CAST(o_orderkey % 24 AS INTEGER) * INTERVAL 1 HOUR')} AS local FROM orders""",
     "local_to_utc": f"SELECT event_id, {instant('ts')} AS instant FROM events",

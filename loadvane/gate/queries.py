@@ -17,7 +17,7 @@ from loadvane.operators import asof, grid, metrics, profiles, regression, rollin
 from loadvane.plans import models, prediction, serving, training
 from loadvane.session import fresh_dir, ship_package, use_utc
 from loadvane.sources import documents, lake
-from loadvane.streaming.live import land_live_weather
+from loadvane.streaming.live import land_live_weather, read_landed
 
 START, END = "2024-01-10", "2024-01-20"
 AS_OF = "2024-01-15"
@@ -106,7 +106,8 @@ def parse_eia_values(t):
 
 @query
 def parse_eia_metadata(t):
-    return documents.parse_demand_metadata(t.demand_documents())
+    # the proxy documents have no further fields
+    return documents.parse_demand_metadata(t.demand_documents()).drop("others")
 
 
 @query
@@ -182,11 +183,6 @@ def append_twice(t):
     return t.spark.table(name)
 
 
-@query
-def model_test_limit(t):
-    return models.demand_fact(t.demand(), t.metadata(), "view", test_limit=100)
-
-
 # Scalar functions
 
 
@@ -316,9 +312,9 @@ def forecast_as_of_many(t):
 # Aggregations
 
 
-def _profile(name: str, by: Callable[[], dict], few_keys: bool = True) -> None:
+def _profile(name: str, by: Callable[[], dict]) -> None:
     def run(t):
-        return profiles.profile(t.shipments(), by(), "value", few_keys=few_keys)
+        return profiles.profile(t.shipments(), by(), "value")
 
     REGISTRY[name] = run
 
@@ -328,8 +324,8 @@ _profile("profile_month", lambda: {"month": F.month("ts")})
 _profile("profile_weekday", lambda: {"weekday": F.weekday("ts")})
 _profile("profile_hour", lambda: {"hour": F.hour("ts")})
 _profile("profile_month_hour", lambda: {"month": F.month("ts"), "hour": F.hour("ts")})
-_profile("profile_by_value", lambda: {"temp_F": F.col("temp_F")}, few_keys=False)
-_profile("profile_month_value", lambda: {"month": F.month("ts"), "temp_F": F.col("temp_F")}, few_keys=False)
+_profile("profile_by_value", lambda: {"temp_F": F.col("temp_F")})
+_profile("profile_month_value", lambda: {"month": F.month("ts"), "temp_F": F.col("temp_F")})
 
 
 @query
@@ -411,7 +407,7 @@ def rolling_median_by_horizon(t):
 
 @query
 def station_topk(t):
-    return profiles.station_search(t.stations(), "CO", "2022-01-01", "AIRPORT")
+    return profiles.station_search(t.stations(), "CO", "2022-01-01", "AIRPORT", limit=100)
 
 
 @query
@@ -672,4 +668,4 @@ def stream_live_weather(t):
     docs.write.text(raw)
     docs.write.mode("append").text(raw)
     land_live_weather(t.spark, raw, out, state, wholetext=False).awaitTermination()
-    return t.spark.read.schema(schemas.LIVE_WEATHER).parquet(out)
+    return read_landed(t.spark, out).select(*schemas.LIVE_WEATHER.names)

@@ -8,7 +8,6 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loadvane.session import broadcast_if_small
 
 
 @dataclass(frozen=True)
@@ -81,5 +80,5 @@ def nearest_cell(points: DataFrame, grid: LambertGrid, lon: str = "lon", lat: st
 
 def grid_series(messages: DataFrame, points: DataFrame, grid: LambertGrid) -> DataFrame:
     """Forecast series of every point, by an equi-join on its cell."""
-    located = broadcast_if_small(nearest_cell(points, grid))
+    located = nearest_cell(points, grid)
     return grid_cube(messages, grid).select("valid_time", "iy", "ix", "value").join(located, ["iy", "ix"])

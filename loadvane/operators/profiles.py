@@ -13,12 +13,12 @@ MONTHS = list(range(1, 13))
 
 
 def profile(
-    df: DataFrame, by: dict[str, Column], value: str, few_keys: bool = True
+    df: DataFrame, by: dict[str, Column], value: str
 ) -> DataFrame:
-    """Mean, 10th and 90th percentile of ``value`` per key; set ``few_keys=False`` for measured keys."""
+    """Mean, 10th and 90th percentile of ``value`` per key."""
     keyed = df.select(*[c.alias(k) for k, c in by.items()], F.col(value).alias("measured"))
     return exact_quantiles(
-        keyed, list(by), "measured", {"p10": 0.1, "p90": 0.9}, few_keys, extras={"mean": F.avg}
+        keyed, list(by), "measured", {"p10": 0.1, "p90": 0.9}, extras={"mean": F.avg}
     )
 
 
@@ -62,7 +62,7 @@ def describe(df: DataFrame, columns: Sequence[str]) -> DataFrame:
         "max": F.max,
     }
     quartiles = {"p25": 0.25, "p50": 0.5, "p75": 0.75}
-    return exact_quantiles(long, ["column"], "v", quartiles, few_keys=True, extras=moments).select(
+    return exact_quantiles(long, ["column"], "v", quartiles, extras=moments).select(
         "column", "count", "mean", "std", "min", "p25", "p50", "p75", "max"
     )
 
@@ -114,7 +114,7 @@ def distinct_versions(metrics: DataFrame) -> DataFrame:
     return metrics.select("model_version").distinct()
 
 
-def station_search(stations: DataFrame, state: str, active_since: str, name_part: str, limit: int = 100) -> DataFrame:
+def station_search(stations: DataFrame, state: str, active_since: str, name_part: str, limit: int) -> DataFrame:
     """Stations of a state still reporting after a date, newest record first, then by name."""
     return (
         stations.filter(

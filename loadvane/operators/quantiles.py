@@ -17,7 +17,6 @@ def exact_quantiles(
     keys: Sequence[str],
     value: str,
     probabilities: dict[str, float],
-    few_keys: bool = False,
     extras: dict[str, Callable[[Column], Column]] | None = None,
 ) -> DataFrame:
     """One row per key: linearly interpolated quantiles, named by ``probabilities``.
@@ -29,8 +28,7 @@ def exact_quantiles(
     exactly. No task holds a large group, and the result does not depend on the sketch:
     a rank outside its bracket stops the job instead of answering wrongly.
 
-    ``few_keys=True`` says the keys are bounded by construction (calendar parts), so the
-    sketches may be broadcast. ``extras`` are further aggregates of the value, taken
+    ``extras`` are further aggregates of the value, taken
     in the same pass as the sketch. Null values and null keys take no part.
     """
     keys, extras = list(keys), extras or {}
@@ -51,7 +49,7 @@ def exact_quantiles(
         F.percentile_approx("_v", bounds, ACCURACY).alias("_cuts"),
         *[aggregate(F.col("_v")).alias(name) for name, aggregate in extras.items()],
     )
-    if few_keys or not keys:
+    if not keys:  # a single row
         sketch = F.broadcast(sketch)
 
     def cut(at: int) -> Column:

@@ -132,9 +132,10 @@ def generate_cutoffs(
 ) -> list[datetime]:
     """Cutoffs from the end of the data backwards, ascending.
 
-    Two neighbouring times further apart than the horizon never fall in one slice of
-    that length, so all such gaps show in the first and last time per slice: at most
-    span / horizon rows come to the driver, whatever the number of data rows.
+    Within a stretch without gaps cutoffs are evenly spaced, so their number follows by
+    division. A gap is a time without data longer than the horizon; where a cutoff would look
+    into one, the next stretch starts one horizon before the gap. A gap shows in the first and
+    last time of neighbouring slices of the horizon's length; only gaps come to the driver.
     """
     h, start_after, step = (d // timedelta(microseconds=1) for d in (horizon, initial, period))
     t = epoch_micros(ts)
@@ -142,28 +143,31 @@ def generate_cutoffs(
         df.filter(F.col(ts).isNotNull())
         .groupBy(F.floor(t / h).alias("slice"))
         .agg(F.min(t).alias("first"), F.max(t).alias("last"))
-        .orderBy("slice")
-        .select("first", "last")
-        .toPandas()
     )
-    if slices.empty:
+    span = slices.agg(F.min("first"), F.max("last")).first()
+    if span[0] is None:
         raise ValueError("no rows to cut")
-    first, last = slices["first"].to_numpy(np.int64), slices["last"].to_numpy(np.int64)
-    earliest, latest = int(first[0]), int(last[-1])
-    cutoff = latest - h
-    if cutoff < earliest:
+    earliest, latest = span
+    if latest - h < earliest:
         raise ValueError("less data than the horizon")
-    # ends of data runs that are followed by a gap longer than the horizon
-    wide = np.flatnonzero(first[1:] - last[:-1] > h)
-    gap_start, gap_end = last[wide], first[wide + 1]
-    found = [cutoff]
-    while found[-1] >= earliest + start_after:
-        cutoff -= step
-        inside = np.searchsorted(gap_start, cutoff, side="right") - 1
-        if inside >= 0 and cutoff + h < gap_end[inside] and cutoff > earliest:
-            cutoff = int(gap_start[inside]) - h
-        found.append(cutoff)
-    found.pop()
+    ahead = slices.select((F.col("slice") - 1).alias("slice"), F.col("first").alias("next"))
+    behind = slices.select((F.col("slice") + 1).alias("slice"), F.col("last").alias("previous"))
+    # a slice without a neighbour is next to a gap; the ends of all data are not gaps
+    starts = slices.join(ahead, "slice", "left").where(F.coalesce(F.col("next") - F.col("last") > h, F.lit(True)))
+    stops = slices.join(behind, "slice", "left").where(F.coalesce(F.col("first") - F.col("previous") > h, F.lit(True)))
+    gap_start = sorted(r["last"] for r in starts.select("last").collect())[:-1]
+    gap_stop = sorted(r["first"] for r in stops.select("first").collect())[1:]
+    top, stretches = latest - h, []
+    for begin, end in zip(reversed(gap_start), reversed(gap_stop)):
+        # the first cutoff of this stretch, after its own, whose window ends before the gap does
+        n = max(1, (top - (end - h)) // step + 1)
+        into = top - n * step
+        if begin <= into and into > earliest:
+            stretches.append((top, n))
+            top = begin - h
+    lowest = earliest + start_after
+    stretches.append((top, max(0, (top - lowest) // step + 1)))
+    found = [top - k * step for top, n in stretches for k in range(n) if top - k * step >= lowest]
     if not found:
         raise ValueError("less data than the horizon after the initial window")
     return [_moment(c) for c in reversed(found)]

@@ -7,28 +7,20 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loadvane.functions.columns import error_columns, fahrenheit, good_quality, station_key
+from loadvane.functions.columns import error_columns, fahrenheit, good_quality, station_key, strict_cast
 from loadvane.functions.timefn import MOUNTAIN, hours_between, ntz, to_local, trunc_hour
 from loadvane.operators.joins import left_join_fan_out
-from loadvane.session import broadcast_if_small
 
 # The series of actual demand and of the utility's day-ahead forecast.
 ACTUAL_SERIES = "EBA_PSCO-ALL_D_H"
 UTILITY_FORECAST_SERIES = "EBA_PSCO-ALL_DF_H"
 
 
-def first_rows(df: DataFrame, order: list[str], test_limit: int | None) -> DataFrame:
-    """The dry-run cap: the first rows in a total order, or everything when None."""
-    return df if test_limit is None else df.orderBy(*order).limit(test_limit)
-
-
-def demand_fact(
-    demand: DataFrame, metadata: DataFrame, series_id: str, zone: str = MOUNTAIN, test_limit: int | None = None
-) -> DataFrame:
+def demand_fact(demand: DataFrame, metadata: DataFrame, series_id: str, zone: str = MOUNTAIN) -> DataFrame:
     """One demand series on both clocks with its unit, name and update time."""
     series = demand.filter(F.col("series_id") == series_id).select("series_id", "timestamp", "value")
     about = metadata.filter(F.col("series_id") == series_id).select("series_id", "units", "name", "updated")
-    fact = series.join(broadcast_if_small(about), "series_id").select(
+    return series.join(about, "series_id").select(
         "series_id",
         F.col("timestamp").alias("timestamp_UTC"),
         to_local("timestamp", zone).alias("timestamp_MTN"),
@@ -37,7 +29,6 @@ def demand_fact(
         "name",
         "updated",
     )
-    return first_rows(fact, ["timestamp_UTC", "value"], test_limit)
 
 
 def _weather(lat: str, lon: str, celsius: str, instant: Column, zone: str) -> list[Column]:
@@ -57,8 +48,8 @@ def station_weather(observations: DataFrame, stations: DataFrame, zone: str = MO
     kept = observations.filter(good_quality("temperature_QC", "temperature_degC"))
     return (
         kept.withColumn("station_id", F.col("STATION").cast("string"))
-        .join(broadcast_if_small(places), "station_id")
-        .select(*_weather("LAT", "LON", "temperature_degC", F.col("DATE").cast("timestamp"), zone))
+        .join(places, "station_id")
+        .select(*_weather("LAT", "LON", "temperature_degC", strict_cast("DATE", "timestamp"), zone))
     )
 
 

@@ -8,7 +8,6 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 
 def build_session(
@@ -69,17 +68,6 @@ def settle(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = 100_000) -> DataFrame:
-    """Hint a broadcast only after counting that ``df`` has at most ``max_rows`` rows.
-
-    The count stops at ``max_rows + 1``. Beyond the bound the frame is returned as it
-    is and Spark joins by shuffle, with adaptive skew splitting.
-    """
-    if df.limit(max_rows + 1).count() <= max_rows:
-        return F.broadcast(df)
-    return df
-
-
 def ship_package(spark: SparkSession) -> None:
     """Send this package to the Python workers, as ``--py-files`` would."""
     context = spark.sparkContext

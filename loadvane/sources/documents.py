@@ -1,13 +1,16 @@
 """Landed JSON, CSV and XML documents to typed rows.
 
-Each ``parse_*`` works on a column of document texts; each ``read_*`` puts files under it.
+Each ``parse_*`` works on a column of document texts; each ``read_*`` puts files under it. A
+document that does not parse, or a time or value in it that does not, stops the job: it would
+otherwise look like a gap in the data.
 """
 
 from __future__ import annotations
 
 from datetime import datetime
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loadvane import schemas
@@ -25,8 +28,15 @@ def _documents(spark: SparkSession, path: str | list[str], wholetext: bool = Tru
 # Demand series JSON
 
 
+def _required(value: Column, what: str, text: Column | str) -> Column:
+    """``value``, or an error that shows the begin of the text it should have come from."""
+    shown = F.substring(F.coalesce(F.col(text) if isinstance(text, str) else text, F.lit("null")), 1, 200)
+    return F.when(value.isNotNull(), value).otherwise(F.raise_error(F.concat(F.lit(f"{what}: "), shown)))
+
+
 def _series(df: DataFrame, text: str) -> DataFrame:
-    return df.select(F.explode(F.from_json(text, schemas.DEMAND_DOCUMENT)["series"]).alias("s"))
+    document = F.from_json(text, schemas.DEMAND_DOCUMENT, {"mode": "FAILFAST"})
+    return df.select(F.explode(_required(document["series"], "not a demand document", text)).alias("s"), text)
 
 
 def parse_demand_values(df: DataFrame, text: str = "value") -> DataFrame:
@@ -35,17 +45,30 @@ def parse_demand_values(df: DataFrame, text: str = "value") -> DataFrame:
         _series(df, text)
         .select(normalize_series_id("s.series_id").alias("series_id"), F.explode("s.data").alias("d"))
         .select(
-            parse_compact_hour(F.get("d", F.lit(0))).alias("timestamp"),
-            F.get("d", F.lit(1)).try_cast("double").alias("value"),
+            _required(parse_compact_hour(F.get("d", F.lit(0))), "not an hour", F.get("d", F.lit(0))).alias("timestamp"),
+            strict_cast(F.get("d", F.lit(1)), "double").alias("value"),
             "series_id",
         )
     )
 
 
 def parse_demand_metadata(df: DataFrame, text: str = "value") -> DataFrame:
-    """One row per series: everything but its readings."""
-    return _series(df, text).select(
-        normalize_series_id("s.series_id").alias("series_id"), "s.name", "s.units", "s.updated"
+    """One row per series: everything but its readings.
+
+    Fields beyond the named ones are in ``others`` as text, null if there are none.
+    """
+    known = F.array(*map(F.lit, ("series_id", "name", "units", "updated", "data")))
+    plain = F.from_json(text, "struct<series: array<map<string, string>>>", {"mode": "FAILFAST"})["series"]
+    others = F.map_filter(F.get(plain, F.col("at")), lambda k, v: ~F.array_contains(known, k))
+    document = F.from_json(text, schemas.DEMAND_DOCUMENT, {"mode": "FAILFAST"})
+    return df.select(
+        F.posexplode(_required(document["series"], "not a demand document", text)).alias("at", "s"), text
+    ).select(
+        normalize_series_id("s.series_id").alias("series_id"),
+        "s.name",
+        "s.units",
+        "s.updated",
+        F.when(F.size(others) > 0, others).alias("others"),
     )
 
 
@@ -82,11 +105,26 @@ def parse_station_lines(df: DataFrame, text: str = "value") -> DataFrame:
 
 
 def read_station_csv(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """Station files with a header. Columns are read as text and found by name; a file
-    whose header differs from the first one's is an error, not shifted data."""
-    header = spark.read.option("header", "true").csv(path).schema
-    rows = spark.read.schema(header).option("header", "true").option("enforceSchema", "false").csv(path)
-    return typed_station_rows(rows)
+    """Station files with a header; columns are found by name in each file.
+
+    Files differ in their optional columns. They are grouped by their first line, and each
+    group is read under its own header, so the driver holds one row per header and file.
+    """
+    first = (
+        spark.read.text(path, lineSep="\n")
+        .select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"))
+        .where((F.col("block") == 0) & F.col("value").contains("STATION"))
+        .groupBy("file")
+        .agg(F.min(F.rtrim(F.regexp_replace("value", "\r$", ""))).alias("header"))
+    )
+    groups = first.groupBy("header").agg(F.array_sort(F.collect_list("file")).alias("files")).orderBy("header").collect()
+    tables = []
+    for group in groups:
+        names = spark.read.option("header", "true").csv(group["files"][0]).columns
+        schema = ", ".join(f"`{n}` string" for n in names)
+        rows = spark.read.schema(schema).option("header", "true").option("enforceSchema", "false").csv(group["files"])
+        tables.append(typed_station_rows(rows))
+    return reduce(DataFrame.unionByName, tables)
 
 
 def read_stations(spark: SparkSession, path: str) -> DataFrame:
@@ -105,10 +143,10 @@ def read_stations(spark: SparkSession, path: str) -> DataFrame:
 
 def parse_live_weather(df: DataFrame, text: str = "value", keep: tuple[str, ...] = ()) -> DataFrame:
     """Nine typed columns per observation; fields beyond them are ignored."""
-    document = df.select(F.from_json(text, schemas.LIVE_DOCUMENT).alias("d"), *keep)
+    document = df.select(F.from_json(text, schemas.LIVE_DOCUMENT, {"mode": "FAILFAST"}).alias("d"), F.col(text), *keep)
     return document.select(
         "d.main.*",
-        parse_epoch("d.dt").alias("timestamp"),
+        parse_epoch(_required(F.col("d.dt"), "not a live document", text)).alias("timestamp"),
         "d.coord.lon",
         "d.coord.lat",
         *keep,
@@ -124,10 +162,12 @@ def reprocess_live_weather(
 ) -> DataFrame:
     """Re-extract the raw documents landed in the closed range of hours under today's schema.
 
-    The hour stamp is part of each file's path, so other files are not opened.
+    The hour stamp is part of each file's path below ``path``, so other files are not opened.
     ``wholetext=False`` reads one document per line.
     """
-    stamp = F.regexp_extract(F.col("_metadata.file_path"), HOUR_STAMP, 1)
+    # a stamp in the name of the root folder itself does not count
+    below = F.substring_index(F.col("_metadata.file_path"), "/" + path.rstrip("/").rpartition("/")[2] + "/", -1)
+    stamp = F.regexp_extract(below, HOUR_STAMP, 1)
     raw = _documents(spark, path, wholetext).select("value", stamp.alias("landed"))
     first, last = (moment.strftime("%Y-%m-%d-%H") for moment in (start, end))
     return parse_live_weather(raw.filter(F.col("landed").between(first, last)), keep=("landed",))

@@ -159,12 +159,15 @@ def test_median_filter_against_pandas_across_blocks(spark, uncoalesced):
     got = series.median_filter(df, ["k"], "t", "v", tie=["n"], block_rows=64).toPandas()
     got = got.sort_values(["k", "n"]).reset_index(drop=True)
 
-    def reference(s):
-        middle, sigma = s.rolling(24, center=True).median(), s.rolling(24, center=True).std()
-        return s.where(s.between(middle - 2.5 * sigma, middle + 2.5 * sigma))
-
     want = pdf.sort_values(["k", "n"]).reset_index(drop=True)
-    want["v"] = want.groupby("k")["v"].transform(reference)
+    for _, at in want.groupby("k").groups.items():
+        values = want.loc[at, "v"].to_numpy()
+        kept = np.full(len(values), np.nan)
+        for i in range(12, len(values) - 11):
+            around = values[i - 12 : i + 12]
+            if not np.isnan(around).any() and abs(values[i] - np.median(around)) <= 2.5 * np.std(around, ddof=1):
+                kept[i] = values[i]
+        want.loc[at, "v"] = kept
     assert len(got) == len(want)
     assert np.allclose(got["v"].astype(float), want["v"], equal_nan=True)
 
@@ -358,22 +361,34 @@ def test_constant_feature_gets_no_weight(spark):
 DAY = timedelta(days=1)
 
 
-def brute_cutoffs(times, horizon, initial, period):
-    cutoff, result = max(times) - horizon, [max(times) - horizon]
-    while result[-1] >= min(times) + initial:
-        cutoff -= period
-        if not any(cutoff < t <= cutoff + horizon for t in times) and cutoff > min(times):
-            cutoff = max(t for t in times if t <= cutoff) - horizon
-        result.append(cutoff)
-    return result[:-1][::-1]
-
-
 @pytest.mark.parametrize("gap", [(), range(300, 420), [*range(100, 150), *range(500, 600)]])
 def test_cutoffs_jump_over_gaps(spark, gap):
     df = daily(spark, skip=set(gap))
-    got = regression.generate_cutoffs(df, "ds", 2 * DAY, 40 * DAY, 6 * DAY)
-    assert got == brute_cutoffs([r.ds for r in df.collect()], 2 * DAY, 40 * DAY, 6 * DAY)
-    assert [r.cutoff for r in regression.cutoff_frame(df, "ds", 2 * DAY, 40 * DAY, 6 * DAY).collect()] == got
+    times = sorted(r.ds for r in df.collect())
+    horizon, initial, period = 2 * DAY, 40 * DAY, 6 * DAY
+    got = regression.generate_cutoffs(df, "ds", horizon, initial, period)
+    assert got == sorted(set(got)) and got[-1] == times[-1] - horizon and got[0] >= times[0] + initial
+    for earlier, later in zip(got, got[1:]):
+        # evenly spaced, unless the even place looks into a gap: then up to the gap's begin
+        even = later - period
+        if any(even < t <= even + horizon for t in times):
+            assert earlier == even
+        else:
+            assert earlier == max(t for t in times if t <= even) - horizon
+    # none is missing at the lower end
+    below = got[0] - period
+    if any(below < t <= below + horizon for t in times):
+        assert below < times[0] + initial
+    assert [r.cutoff for r in regression.cutoff_frame(df, "ds", horizon, initial, period).collect()] == got
+
+
+def test_cutoffs_of_literal_days(spark):
+    days = [*range(0, 31), *range(60, 71)]
+    rows = [(D(2022, 1, 1) + timedelta(days=d),) for d in days]
+    df = spark.createDataFrame(rows, "ds timestamp_ntz")
+    got = regression.generate_cutoffs(df, "ds", 5 * DAY, 10 * DAY, 5 * DAY)
+    # 65 and 60 see data; 55 would end at 60 with data at 60; 50 looks into the gap, so 30 - 5
+    assert [(c - D(2022, 1, 1)).days for c in got] == [10, 15, 20, 25, 55, 60, 65]
 
 
 def test_cutoffs_need_enough_history(spark):

@@ -25,7 +25,6 @@ FOLD = ["2022-11-06 07:00:00", "2022-11-06 08:00:00"]
 def test_fact_keeps_one_series_and_caps_on_request(spark):
     fact = demand(spark, [("2022-07-01 06:00:00", 1.0), ("2022-07-01 05:00:00", None)])
     assert sorted(r.timestamp_MTN for r in fact.collect()) == [D(2022, 6, 30, 23), D(2022, 7, 1)]
-    assert models.first_rows(fact, ["timestamp_UTC"], 1).first().timestamp_UTC == D(2022, 7, 1, 5)
 
 
 def test_station_cast_gates_quality_and_joins_padded_keys(spark):

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from loadvane import schemas
 from loadvane.sources import documents, lake
-from loadvane.streaming.live import land_live_weather
+from loadvane.streaming.live import land_live_weather, read_landed
 
 
 def demand_doc():
@@ -35,11 +35,34 @@ def test_demand_documents(spark, tmp_path):
         (D(2022, 7, 5, 6), 4711.0, "EBA_PSCO-ALL_D_H"),
     ]
     about = documents.read_demand_metadata(spark, str(tmp_path)).collect()
-    assert [tuple(r) for r in about] == [
+    assert [tuple(r)[:4] for r in about] == [
         ("EBA_PSCO-ALL_D_H", "Demand, hourly", "megawatthours", "2022-07-05T08:00:00-0400")
     ]
 
 
+def test_demand_metadata_keeps_further_fields(spark):
+    text = json.dumps({"series": [{"series_id": "A.B", "name": "n", "f": "H", "lat": 1.5, "data": [["20220705T06Z", 1]]}]})
+    row = documents.parse_demand_metadata(spark.createDataFrame([(text,)], "value string")).first()
+    assert row.series_id == "A_B" and row.units is None and row.others == {"f": "H", "lat": "1.5"}
+
+
+@pytest.mark.parametrize(
+    "parse, text",
+    [
+        (documents.parse_demand_values, "not json"),
+        (documents.parse_demand_values, "{}"),
+        (documents.parse_demand_values, '{"series": [{"series_id": "A", "data": [["yesterday", 1]]}]}'),
+        (documents.parse_demand_values, '{"series": [{"series_id": "A", "data": [["20220705T06Z", "much"]]}]}'),
+        (documents.parse_live_weather, "not json"),
+        (documents.parse_live_weather, '{"coord": {"lon": 1, "lat": 2}}'),
+        (documents.parse_forecast_xml, "<broken"),
+    ],
+)
+def test_broken_documents_stop_the_job(spark, parse, text):
+    with pytest.raises(Exception):
+        parse(spark.createDataFrame([(text,)], "value string")).collect()
+
+
 def test_station_csv(spark, tmp_path):
     header = "STATION,DATE,SOURCE,NAME,TMP,DEW\n"
     (tmp_path / "a.csv").write_text(
@@ -51,11 +74,11 @@ def test_station_csv(spark, tmp_path):
     assert tuple(rows[1])[3:] == (None, None, "9", "9")
 
 
-def test_station_csv_with_other_header_is_an_error(spark, tmp_path):
-    (tmp_path / "a.csv").write_text("STATION,DATE,NAME,TMP,DEW\n1,2,3,4,5\n")
-    (tmp_path / "b.csv").write_text("STATION,NAME,DATE,TMP,DEW\n1,2,3,4,5\n")
-    with pytest.raises(Exception):
-        documents.read_station_csv(spark, str(tmp_path)).collect()
+def test_station_files_with_different_headers(spark, tmp_path):
+    (tmp_path / "a.csv").write_text('STATION,DATE,NAME,TMP,DEW\n1,t1,"A, X","+0100,1","+0050,1"\n')
+    (tmp_path / "b.csv").write_text('"STATION","NAME","WND","DATE","TMP","DEW"\n2,B,calm,t2,"+0200,1","+0060,1"\n')
+    rows = documents.read_station_csv(spark, str(tmp_path)).collect()
+    assert sorted((r.STATION, r.NAME, r.DATE, r.temperature_degC) for r in rows) == [("1", "A, X", "t1", 10.0), ("2", "B", "t2", 20.0)]
 
 
 def test_station_seed_keeps_leading_zeros(spark, tmp_path):
@@ -178,7 +201,7 @@ def test_stream_takes_each_file_once_and_drops_repeats(spark, tmp_path):
 
     def land():
         land_live_weather(spark, str(raw), out, state).awaitTermination()
-        return sorted(r.temp for r in spark.read.schema(schemas.LIVE_WEATHER).parquet(out).collect())
+        return sorted(r.temp for r in read_landed(spark, out).collect())
 
     (raw / "2022-07-01-00.json").write_text(json.dumps(live_doc(temp=1)))
     (raw / "2022-07-01-01.json").write_text(json.dumps(live_doc(dt=1656637200, temp=2)))
@@ -186,3 +209,6 @@ def test_stream_takes_each_file_once_and_drops_repeats(spark, tmp_path):
     (raw / "2022-07-01-02.json").write_text(json.dumps(live_doc(dt=1656637200, temp=2)))
     (raw / "2022-07-01-03.json").write_text(json.dumps(live_doc(dt=1656640800, temp=3)))
     assert land() == [1.0, 2.0, 3.0]
+    # a year behind the newest one
+    (raw / "2022-07-01-04.json").write_text(json.dumps(live_doc(dt=1656633600 - 365 * 86_400, temp=4)))
+    assert land() == [1.0, 2.0, 3.0, 4.0]
