@@ -19,6 +19,7 @@ list of the files of the attempts that Spark accepted makes them the result.
 from __future__ import annotations
 
 import os
+import re
 import struct
 import uuid
 import zlib
@@ -52,13 +53,20 @@ class Encoder:
     Blanks are characters that the tokenizer drops, so that no token crosses them: a text's ids
     are those of its pieces one after another. A piece of letters with one comma or full stop
     behind, and the case of ASCII letters, need no encoding of their own for this tokenizer,
-    which lowers the case and cuts between letters and signs.
+    which lowers the case and cuts between letters and signs. Of a word of Latin letters its
+    normaliser and splitter make one piece, so that goes to the library's model at once, spelled
+    in the characters by which the tokenizer writes bytes.
     """
 
+    LETTERS = re.compile("[A-Za-zÀ-ÖØ-öø-ÿ]+")
+
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        splitter = self.tokenizer.pre_tokenizer
+        letters = filter(self.LETTERS.fullmatch, map(chr, range(256)))
+        self.spelling = {ord(c): splitter.pre_tokenize_str(c)[0][0] for c in letters if c == c.lower()}
         self._forget()
 
     def _forget(self) -> None:
@@ -78,7 +86,10 @@ class Encoder:
         parts = [self._parts(p) for p in fresh]
         words = self.words
         new = [w for w in dict.fromkeys(chain.from_iterable(parts)) if w not in words]
-        words.update(zip(new, (e.ids for e in self.tokenizer.encode_batch_fast(new, add_special_tokens=False))))
+        model, plain = self.tokenizer.model, self.LETTERS.fullmatch
+        words.update((w, [t.id for t in model.tokenize(w.lower().translate(self.spelling))]) for w in new if plain(w))
+        other = [w for w in new if w not in words]
+        words.update(zip(other, (e.ids for e in self.tokenizer.encode_batch_fast(other, add_special_tokens=False))))
         lists = [words[p[0]] if len(p) == 1 else words[p[0]] + words[p[1]] for p in parts]
         count = np.array([len(x) for x in lists], np.int64)
         self.numbers.update(zip(fresh, range(len(self.numbers), len(self.numbers) + len(fresh))))
