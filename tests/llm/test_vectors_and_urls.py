@@ -118,3 +118,16 @@ def test_vector_queries_answer_every_query_row(spark, name):
     n = spark.read.parquet(f"{folder}/embeddings.parquet").where("vec_id % 20 = 0").count()
     got = QUERIES[name](spark, folder)
     assert got.count() == 20 * n and got.select("query_id").distinct().count() == n
+
+
+def test_rules_of_a_rare_host_in_a_large_table(spark):
+    # 12 of 4000 labelled urls lie under a tenth of what a share of 1% asks for, among labels without signal
+    plain = [(i, f"http://h{i % 7}.example.org/en/{i}", i % 4 == 0) for i in range(3988)]
+    rare = [(5000 + i, f"http://spam.example.org/x/{i}", True) for i in range(12)]
+    # one long url many times: its tokens are one item, not 2^40 combinations
+    long = [(6000 + i, "http://l.example.org/" + "/".join(f"d{j}" for j in range(40)), i % 4 == 0) for i in range(40)]
+    pages = spark.createDataFrame([r[:2] for r in plain + rare + long] + [(9000, "http://spam.example.org/y"), (9001, "http://q.example.org/x")], "page_id long, url string")
+    labels = spark.createDataFrame([(r[0], r[2]) for r in plain + rare + long], "id long, blocked boolean")
+    got = {r.page_id: r.verdict for r in urlrules.judge(pages, labels, ()).collect()}
+    assert {k for k, v in got.items() if v == "block"} == {*range(5000, 5012), 9000, 9001}
+    assert urlrules.least_count(0.25) < 12 < urlrules.least_count(0.75)
