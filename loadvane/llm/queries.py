@@ -8,8 +8,22 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loadvane.llm import annscan, bpe, jaccard, licenses, mixing, pivots, sharding, tokenfile, toxicity, urlrules
+from loadvane.llm import (
+    annscan,
+    bpe,
+    jaccard,
+    licenses,
+    mixing,
+    periodic,
+    pivots,
+    secretledger,
+    sharding,
+    tokenfile,
+    toxicity,
+    urlrules,
+)
 from loadvane.llm.common import octets, table
+from loadvane.session import fresh_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -126,6 +140,42 @@ def op10_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.digest(docs, public_tokenizers.path(RANKS), public_tokenizers.PATTERN)
 
 
+def op11_secret_ledger(spark: SparkSession, folder: str) -> DataFrame:
+    rules = (*secretledger.BASE, *secretledger.FORMS)
+    base = [rule.kind for rule in secretledger.BASE]
+    found = secretledger.scan(table(spark, folder, "documents"), rules, fresh_dir(spark, "ledger"), ["doc_id"])
+    return found.select(
+        "doc_id",
+        *(F.size(secretledger.among([kind])).cast("long").alias(f"n_{kind}") for kind in base),
+        F.sha2(secretledger.joined(secretledger.among(base)).cast("binary"), 256).alias("base_sha256"),
+        secretledger.joined(F.col("findings")).alias("spans"),
+    )
+
+
+def op12_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    drawn = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    docs = table(spark, folder, "documents")
+    found = periodic.runs(docs, seed=F.when(drawn % 10 == 0, F.floor(drawn / 10)))
+    # runs are ordered by start and period, so of equal exponents the first stays
+    best = F.reduce(
+        "runs",
+        F.get("runs", F.lit(0)),
+        lambda b, r: F.when(r["length"] * b["period"] > b["length"] * r["period"], r).otherwise(b),
+    )
+    lines = F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"]))
+    listed = F.concat(F.array_join(lines, "\n"), F.when(F.size("runs") > 0, "\n").otherwise(""))
+    return found.withColumn("best", best).select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        "best.start",
+        "best.length",
+        "best.period",
+        F.expr("best.length * 1000 div best.period").alias("exponent_milli"),
+        F.sha2(listed.cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"),
+    )
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
@@ -139,5 +189,7 @@ QUERIES: dict[str, Query] = {
         op8_ann_scan,
         op9_pivot_search,
         op10_byte_bpe,
+        op11_secret_ledger,
+        op12_periodic_runs,
     )
 }
