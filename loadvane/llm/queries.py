@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loadvane.llm import (
+    alignment,
     annscan,
     bpe,
     jaccard,
@@ -176,6 +177,12 @@ def op12_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op13_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    path = public_tokenizers.path
+    files = alignment.Files(path("byte_bpe_50k.json"), path("piece_bpe_32k.model"), public_tokenizers.PATTERN)
+    return alignment.align(table(spark, folder, "documents"), files)
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
@@ -191,5 +198,6 @@ QUERIES: dict[str, Query] = {
         op10_byte_bpe,
         op11_secret_ledger,
         op12_periodic_runs,
+        op13_alignment,
     )
 }
