@@ -167,13 +167,15 @@ def scan(
     record(versions, rules, ledger, text_col)
     place = {rule.name: at for at, rule in enumerate(rules)}
     number = F.coalesce(*(F.when(F.col("s.rule") == name, at) for name, at in place.items()))
-    listed = (
+    found = (
         spread(read_ledger(versions.sparkSession, ledger))
         .withColumn("place", number)
         .where("place is not null")
         .groupBy("blob")
         .agg(F.array_sort(F.collect_list(F.struct("s.begin", "place", "s.end"))).alias("found"))
     )
+    # stored, so that nothing stands between the shuffles and the join and it can split a hot blob
+    listed = store(found, "findings")
     kinds = F.array(*(F.lit(rule.kind) for rule in rules))
     # a stored list of the addresses: its join is small, and texts are not read for it
     paths = store(versions.select(*(F.col(c).alias(f"keep{i}") for i, c in enumerate(keep)), blob_of(F.col(text_col)).alias("blob")), "versions")
