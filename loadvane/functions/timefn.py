@@ -6,10 +6,12 @@ holding the UTC wall clock. Local times are always ``timestamp_ntz``.
 
 from __future__ import annotations
 
-from datetime import date, datetime, timedelta
+from datetime import date, datetime, timedelta, timezone
+from zoneinfo import ZoneInfo
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 MOUNTAIN = "America/Denver"
 
@@ -104,3 +106,41 @@ def in_window(ts: Column | str, start: datetime | str, end: datetime | str, incl
     """Time window, closed (a data pull) or open (training and validation splits)."""
     c, lo, hi = _col(ts), ntz_literal(start), ntz_literal(end)
     return c.between(lo, hi) if inclusive else (c > lo) & (c < hi)
+
+
+def instants_of(start: date | datetime | str, end: date | datetime | str, zone: str = MOUNTAIN) -> tuple[datetime, datetime]:
+    """The least range of UTC instants that holds all with a wall clock from ``start`` to ``end``.
+
+    A wall clock that occurs twice begins the range with its first and ends it with its last
+    instant. One that a clock change skips is read with the offset before and after the change,
+    which lie on either side of it.
+    """
+    return min(_readings(start, zone)), max(_readings(end, zone))
+
+
+def _readings(wall: date | datetime | str, zone: str) -> list[datetime]:
+    moment = datetime.fromisoformat(str(wall))
+    read = (moment.replace(tzinfo=ZoneInfo(zone), fold=fold) for fold in (0, 1))
+    return [r.astimezone(timezone.utc).replace(tzinfo=None) for r in read]
+
+
+def bound_instants(
+    df: DataFrame, instant: str, start: date | datetime | str, end: date | datetime | str, zone: str = MOUNTAIN
+) -> DataFrame:
+    """Rows whose instant may show a wall clock from ``start`` to ``end``: a test on the raw column.
+
+    A test on the converted wall clock does not reach a scan; this one does, and drops nothing
+    that the exact test would keep.
+    """
+    low, high = instants_of(start, end, zone)
+    kind = df.schema[instant].dataType
+    if not isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
+        return df
+    bound = [F.lit(f"{m.isoformat(' ')}{'Z' if isinstance(kind, T.TimestampType) else ''}").cast(kind) for m in (low, high)]
+    return df.filter(F.col(instant).between(*bound))
+
+
+def last_moment(end: date | str, ends: str = "day") -> datetime:
+    """The last wall clock that ``in_dates`` keeps."""
+    last = datetime.fromisoformat(str(date.fromisoformat(str(end))))
+    return last + timedelta(days=1, microseconds=-1) if ends == "day" else last

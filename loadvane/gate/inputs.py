@@ -71,7 +71,7 @@ class Tables:
     # weather
 
     def station_observations(self) -> DataFrame:
-        e = self.events.filter(F.col("event_id") % 2 == 0)
+        e = self.events
         user = F.col("user_id").cast("string")
         flag = (F.floor(F.col("event_id") / 2) % 10).cast("string")
         return e.select(
@@ -114,7 +114,7 @@ class Tables:
 
     def live_observations(self) -> DataFrame:
         k, place = F.col("k"), (F.col("user_id") % 10) / 10.0
-        return self.events.filter(F.col("event_id") % 2 == 1).select(
+        return self.events.select(
             (k - 20.0).alias("temp"),
             (k - 22.0).alias("feels_like"),
             (k - 24.0).alias("temp_min"),
@@ -148,7 +148,7 @@ class Tables:
         t = F.col("timestamp")
         parity = F.day(t) % 2
         start = ntz(F.date_trunc("day", t)) - F.make_dt_interval(days=parity)
-        return self.demand_hourly().filter(F.col("series_id") == "view").select(
+        return self.demand_hourly().select(
             (t + F.expr("INTERVAL '5' HOUR")).alias("energy_timestamp_mtn"),
             F.round(F.col("value") * 0.9 + F.hour(t), 4).alias("predicted_energy_demand"),
             (F.hour(t) + 20.0).alias("temp_f_forecast"),
@@ -199,6 +199,7 @@ class Tables:
                 F.lit('{"series": [{"series_id": "EBA.'), F.upper("event_type"),
                 F.lit('.D.H", "name": "'), F.col("event_type"),
                 F.lit('", "units": "megawatthours", "updated": "'), F.date_format("ts", ISO_SECONDS),
+                F.lit('", "description": "user '), F.col("user_id").cast("string"),
                 F.lit('", "data": [["'), hour, F.lit('", '), F.col("value").cast("string"),
                 F.lit('], ["'), following, F.lit('", null]]}]}'),
             ).alias("value")

@@ -52,7 +52,7 @@ PARTS = {
         'STATION ' || user_id AS NAME, strftime(ts, {ISO}) AS DATE,
         CASE WHEN k <> 50 THEN k - 20.0::DOUBLE END AS temperature_degC, (k - 25)::DOUBLE AS dew_point_degC,
         ((event_id // 2) % 10)::VARCHAR AS temperature_QC, ((event_id // 2) % 10)::VARCHAR AS dew_point_QC
-        FROM ev WHERE event_id % 2 = 0""",
+        FROM ev""",
     "yearly": f"""SELECT lpad(o_custkey::VARCHAR, 11, '0') AS STATION, o_orderpriority AS NAME,
         strftime(o_orderdate, {ISO}) AS DATE, (o_orderkey % 60 - 20)::DOUBLE AS temperature_degC,
         (o_orderkey % 50 - 25)::DOUBLE AS dew_point_degC, (o_orderkey % 10)::VARCHAR AS temperature_QC,
@@ -66,7 +66,7 @@ PARTS = {
     "live_obs": """SELECT k - 20.0::DOUBLE AS temp, k - 22.0::DOUBLE AS feels_like, k - 24.0::DOUBLE AS temp_min,
         k - 18.0::DOUBLE AS temp_max, k + 1000.0::DOUBLE AS pressure, k::DOUBLE AS humidity,
         date_trunc('second', ts)::TIMESTAMP AS timestamp, -104.0::DOUBLE - (user_id % 10) / 10.0::DOUBLE AS lon,
-        39.0::DOUBLE + (user_id % 10) / 10.0::DOUBLE AS lat FROM ev WHERE event_id % 2 = 1""",
+        39.0::DOUBLE + (user_id % 10) / 10.0::DOUBLE AS lat FROM ev""",
     "forecasts": """SELECT date_trunc('day', ts)::TIMESTAMP + (hour(ts) // 3) * 3 * INTERVAL 1 HOUR AS forecast_time,
         -104.0::DOUBLE - (user_id % 4) AS lon, 39.0::DOUBLE + (user_id % 4) AS lat, k::BIGINT AS temp_F,
         ts - CAST(event_id % 72 AS INTEGER) * INTERVAL 1 HOUR AS creation_time FROM ev""",
@@ -78,7 +78,7 @@ PARTS = {
         date_trunc('day', timestamp)::TIMESTAMP - (day(timestamp) % 2) * INTERVAL 1 DAY AS prediction_start_date,
         date_trunc('day', timestamp)::TIMESTAMP - (day(timestamp) % 2) * INTERVAL 1 DAY + INTERVAL 6 HOUR
             AS prediction_creation_date
-        FROM hourly WHERE series_id = 'view'""",
+        FROM hourly""",
     "fact": f"""SELECT series_id, timestamp AS timestamp_UTC, {local('timestamp')} AS timestamp_MTN, value, units, name, updated
         FROM hourly JOIN metadata USING (series_id) WHERE series_id = 'view'""",
     "raw_fact": f"""SELECT series_id, timestamp AS timestamp_UTC, {local('timestamp')} AS timestamp_MTN, value, units, name,
@@ -229,7 +229,7 @@ ORACLES = {
         FROM events UNION ALL SELECT date_trunc('hour', ts)::TIMESTAMP + INTERVAL 1 HOUR, NULL,
         'EBA_' || upper(event_type) || '_D_H' FROM events""",
     "parse_eia_metadata": f"""SELECT 'EBA_' || upper(event_type) || '_D_H' AS series_id, event_type AS name,
-        'megawatthours' AS units, strftime(ts, {ISO}) AS updated FROM events""",
+        'megawatthours' AS units, strftime(ts, {ISO}) AS updated, '{{"description":"user ' || user_id || '"}}' AS others FROM events""",
     "parse_isd_obs": sql("SELECT * REPLACE (NAME || ', CO US' AS NAME, CASE WHEN temperature_degC IS NULL THEN '9' ELSE temperature_QC END AS temperature_QC) FROM station_obs"),
     "parse_live_weather": sql("SELECT * FROM live_obs"),
     "parse_forecast_xml": sql("""SELECT forecast_time + INTERVAL 6 HOUR AS forecast_time, lon, lat, temp_F,
@@ -243,6 +243,7 @@ ORACLES = {
     "typed_write_roundtrip": sql("SELECT timestamp, value, series_id FROM demand"),
     "overwrite_twice": sql("SELECT * FROM demand"),
     "append_twice": sql("SELECT * FROM demand UNION ALL SELECT * FROM demand"),
+    "materialize_models": sql("SELECT source, lat, lon, max(temp_F) AS hottest, count(*) AS n FROM temps GROUP BY ALL"),
     # scalar functions
     "local_time": f"""SELECT o_orderkey, {local('o_orderdate + CAST(o_orderkey % 24 AS INTEGER) * INTERVAL 1 HOUR')} AS local FROM orders""",
     "local_to_utc": f"SELECT event_id, {instant('ts')} AS instant FROM events",
@@ -305,7 +306,7 @@ ORACLES = {
         f"count(*) FILTER ({c} IS NULL) AS {c}"
         for c in ("temp_timestamp_mtn", "energy_timestamp_mtn", "energy_demand", "demand_units", "series_name", "temp_F",
                   "temp_C", "temp_location_lat", "temp_location_lon", "temp_source", "date_energy_updated")) + " FROM joined"),
-    "rows_with_null": sql("SELECT * FROM joined WHERE temp_F IS NULL"),
+    "rows_with_null": sql("SELECT * FROM station_obs WHERE temperature_degC IS NULL"),
     "error_histogram": sql(f"""SELECT bin::INTEGER AS bin, {r('lo + (hi - lo) / 20 * (bin - 1)', 'bin_low')}, {r('lo + (hi - lo) / 20 * bin', 'bin_high')},
         coalesce(n, 0) AS n FROM (SELECT min(energy_error) AS lo, max(energy_error) AS hi FROM metrics), range(1, 21) bins(bin)
         LEFT JOIN (SELECT least(CAST(floor((energy_error - lo) / (hi - lo) * 20) AS BIGINT) + 1, 20) AS bin, count(*) AS n FROM metrics,
@@ -380,5 +381,7 @@ ORACLES = {
         least(greatest(CAST(floor(({PX} - {X0}) / 200000.0::DOUBLE + 0.5) AS INTEGER), 0), 9) AS ix FROM ({NATIONS})) p
         ON p.iy = c.iy AND p.ix = c.ix"""),
     # streaming
-    "stream_live_weather": sql("SELECT DISTINCT temp, feels_like, temp_min, temp_max, pressure, humidity, timestamp, lon, lat FROM live_obs"),
+    "stream_live_weather": sql("""SELECT temp, feels_like, temp_min, temp_max, pressure, humidity, timestamp, lon, lat FROM live_obs
+        QUALIFY row_number() OVER (PARTITION BY lat, lon, timestamp
+        ORDER BY temp DESC, feels_like DESC, temp_min DESC, temp_max DESC, pressure DESC, humidity DESC) = 1"""),
 }

@@ -79,8 +79,7 @@ def joined(t: Tables) -> DataFrame:
 
 
 def metric_rows(t: Tables) -> DataFrame:
-    fact = actual_fact(t)
-    return models.model_metrics(t.predictions(), models.joined_temp_demand(fact, temperature(t)), demand=fact)
+    return models.model_metrics(t.predictions(), joined(t))
 
 
 def cv_rows(t: Tables) -> DataFrame:
@@ -106,8 +105,7 @@ def parse_eia_values(t):
 
 @query
 def parse_eia_metadata(t):
-    # the proxy documents have no further fields
-    return documents.parse_demand_metadata(t.demand_documents()).drop("others")
+    return documents.parse_demand_metadata(t.demand_documents()).withColumn("others", F.to_json("others"))
 
 
 @query
@@ -183,6 +181,15 @@ def append_twice(t):
     return t.spark.table(name)
 
 
+@query
+def materialize_models(t):
+    """A model kept as a table, and one over it that is a view."""
+    name, path = _table(t, "recorded")
+    lake.materialize(lambda: temperature(t), name, "table", path)
+    hottest = t.spark.table(name).groupBy("source", "lat", "lon").agg(F.max("temp_F").alias("hottest"), F.count(F.lit(1)).alias("n"))
+    return lake.materialize(lambda: hottest, f"{name}_hottest", "view")
+
+
 # Scalar functions
 
 
@@ -371,7 +378,7 @@ def null_counts(t):
 
 @query
 def rows_with_null(t):
-    return profiles.rows_with_null(joined(t), "temp_F")
+    return profiles.rows_with_null(t.station_observations(), "temperature_degC")
 
 
 @query

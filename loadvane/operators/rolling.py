@@ -11,8 +11,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loadvane.operators.ordered import SLICE_ROWS, in_ranges, lookup_on_axis, running_totals, with_position
-from loadvane.operators.quantiles import exact_quantiles
+from loadvane.operators.ordered import in_ranges, lookup_on_axis, running_totals
+from loadvane.operators.rankselect import kth_of_windows
+from loadvane.session import settle
 
 
 def rolling_means(df: DataFrame, measures: dict[str, Column], w: int) -> DataFrame:
@@ -65,30 +66,33 @@ def rolling_means(df: DataFrame, measures: dict[str, Column], w: int) -> DataFra
 def rolling_median(df: DataFrame, measure: Column, name: str, w: int, order: Sequence[str] = ("ds", "cutoff")) -> DataFrame:
     """Median of all points of a horizon, topped up to ``w`` with the points just before it.
 
-    Points are ordered by horizon, then by ``order``, then by value. Only the points of
-    the topped-up part meet other horizons, in an equi-join on slices of the positions.
+    Points are ordered by horizon, then by ``order``, then by value. Points without a value
+    count towards ``w`` but not for the median; a horizon with none that has one gives no row.
+    The medians come from a rank-select index, so the work does not depend on ``w``.
     """
     points = df.select("horizon", *order, measure.cast("double").alias("x"))
-    placed = with_position(points, [], ["horizon", *order, "x"])
-    totals = placed.groupBy("horizon").agg(
-        F.count(F.lit(1)).alias("n"), (F.max("position") + 1).alias("cum_n")
+    ranged = in_ranges(points, [], ["horizon", *order, "x"])
+    numbered = ranged.select("*", F.lit(1).alias("row"), F.col("x").isNotNull().cast("int").alias("valued"))
+    # up to and with this point: all points, and those with a value
+    placed = settle(
+        running_totals(numbered, [], ["row", "valued"]).select("horizon", "x", "cum_row", "cum_valued"), "placed-points"
     )
-    answered = totals.filter(F.col("cum_n") >= w)
-    own = placed.join(answered.select("horizon"), "horizon").select("horizon", "x")
-
-    # windows that reach back: positions from cum_n - w up to their own first point
-    reaching = answered.filter(F.col("n") < w).select(
-        F.col("horizon").alias("window"),
-        (F.col("cum_n") - w).alias("reach_from"),
-        (F.col("cum_n") - F.col("n")).alias("reach_to"),
-    ).withColumn(
-        "slice",
-        F.explode(F.sequence(F.floor(F.col("reach_from") / SLICE_ROWS), F.floor((F.col("reach_to") - 1) / SLICE_ROWS))),
+    answered = (
+        placed.groupBy("horizon")
+        .agg(F.count(F.lit(1)).alias("n"), F.max("cum_row").alias("cum_n"), F.max("cum_valued").alias("high"))
+        .filter(F.col("cum_n") >= w)
+        .select("horizon", "high", (F.col("cum_n") - F.greatest("n", F.lit(w))).alias("reach"))
     )
-    topped = (
-        placed.withColumn("slice", F.floor(F.col("position") / SLICE_ROWS))
-        .join(reaching, "slice")
-        .filter((F.col("position") >= F.col("reach_from")) & (F.col("position") < F.col("reach_to")))
-        .select(F.col("window").alias("horizon"), "x")
+    before = placed.select(F.col("cum_row").alias("reach"), F.col("cum_valued").alias("low"))
+    size = F.col("high") - F.col("low")
+    windows = (
+        answered.join(before, "reach", "left")
+        .withColumn("low", F.coalesce("low", F.lit(0)))
+        .filter(size > 0)
+        .select("horizon", "low", "high", F.explode(F.array_distinct(F.array(F.floor((size - 1) / 2), F.floor(size / 2)))).alias("k"))
     )
-    return exact_quantiles(own.unionByName(topped), ["horizon"], "x", {name: 0.5})
+    values = placed.filter(F.col("x").isNotNull()).select((F.col("cum_valued") - 1).alias("at"), "x")
+    middle = kth_of_windows(values, windows).groupBy("horizon").agg(F.min("x").alias("below"), F.max("x").alias("above"))
+    below, above = F.col("below"), F.col("above")
+    # equal ones may both be infinite
+    return middle.select("horizon", F.when(below == above, below).otherwise(below + (above - below) * 0.5).alias(name))

@@ -1,24 +1,39 @@
-"""Staging, core and mart models; each is a lazy function of its inputs."""
+"""Staging, core and mart models, as functions of their inputs.
+
+``within`` may give the first and last local time that is asked for later: the model then reads
+only rows whose instant may show one between them, by a test on the raw column that reaches the
+scan. It narrows what is read and does not replace the exact test on the local time.
+"""
 
 from __future__ import annotations
 
+from datetime import datetime
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loadvane.functions.columns import error_columns, fahrenheit, good_quality, station_key, strict_cast
-from loadvane.functions.timefn import MOUNTAIN, hours_between, ntz, to_local, trunc_hour
-from loadvane.operators.joins import left_join_fan_out
+from loadvane.functions.timefn import MOUNTAIN, bound_instants, hours_between, ntz, to_local, trunc_hour
+from loadvane.operators.joins import left_join_dealt
+from loadvane.session import settle
+
+Within = tuple[datetime | str, datetime | str] | None
 
 # The series of actual demand and of the utility's day-ahead forecast.
 ACTUAL_SERIES = "EBA_PSCO-ALL_D_H"
 UTILITY_FORECAST_SERIES = "EBA_PSCO-ALL_DF_H"
 
 
-def demand_fact(demand: DataFrame, metadata: DataFrame, series_id: str, zone: str = MOUNTAIN) -> DataFrame:
+def _near(df: DataFrame, instant: str, within: Within, zone: str) -> DataFrame:
+    return df if within is None else bound_instants(df, instant, *within, zone)
+
+
+def demand_fact(
+    demand: DataFrame, metadata: DataFrame, series_id: str, zone: str = MOUNTAIN, within: Within = None
+) -> DataFrame:
     """One demand series on both clocks with its unit, name and update time."""
-    series = demand.filter(F.col("series_id") == series_id).select("series_id", "timestamp", "value")
+    series = _near(demand, "timestamp", within, zone).filter(F.col("series_id") == series_id).select("series_id", "timestamp", "value")
     about = metadata.filter(F.col("series_id") == series_id).select("series_id", "units", "name", "updated")
     return series.join(about, "series_id").select(
         "series_id",
@@ -53,9 +68,9 @@ def station_weather(observations: DataFrame, stations: DataFrame, zone: str = MO
     )
 
 
-def live_weather(observations: DataFrame, zone: str = MOUNTAIN) -> DataFrame:
+def live_weather(observations: DataFrame, zone: str = MOUNTAIN, within: Within = None) -> DataFrame:
     """Live observations in the same six columns."""
-    return observations.select(*_weather("lat", "lon", "temp", F.col("timestamp"), zone))
+    return _near(observations, "timestamp", within, zone).select(*_weather("lat", "lon", "temp", F.col("timestamp"), zone))
 
 
 def union_years(tables: list[DataFrame]) -> DataFrame:
@@ -88,7 +103,7 @@ def joined_temp_demand(
     elif one_per_hour is not None:
         raise ValueError(f"one_per_hour must be 'latest' or None, not {one_per_hour!r}")
     energy = demand.withColumn("hour_key", trunc_hour(clock[1]))
-    return left_join_fan_out(energy, temps, ["hour_key"]).select(
+    return left_join_dealt(energy, temps, ["hour_key"]).select(
         F.col("observation_time_MTN").alias("temp_timestamp_mtn"),
         F.col("timestamp_MTN").alias("energy_timestamp_mtn"),
         F.col("value").alias("energy_demand"),
@@ -116,27 +131,30 @@ def localized_predictions(predictions: DataFrame, zone: str = MOUNTAIN) -> DataF
 
 
 def model_metrics(
-    predictions: DataFrame, joined: DataFrame, demand: DataFrame | None = None, zone: str = MOUNTAIN
+    predictions: DataFrame,
+    joined: DataFrame,
+    demand: DataFrame | None = None,
+    zone: str = MOUNTAIN,
+    within: Within = None,
 ) -> DataFrame:
     """Every prediction against the actuals of its local time, with eight error columns.
 
     ``energy_timestamp_mtn`` is the actual's time and null without one;
-    ``forecast_timestamp_mtn`` always holds the predicted time. ``demand`` may give the
-    fact that ``joined`` came from: it tells which times exist without another join.
+    ``forecast_timestamp_mtn`` always holds the predicted time. The actuals from the first
+    predicted time to the last are stored once, so ``joined`` may be a plan of its own and
+    ``demand``, the fact it came from, is not needed. The result is narrow and may be stored
+    with ``settle`` where several queries read it.
     """
-    forecasts = localized_predictions(predictions, zone).withColumnRenamed(
+    forecasts = localized_predictions(_near(predictions, "energy_timestamp_mtn", within, zone), zone).withColumnRenamed(
         "energy_timestamp_mtn", "forecast_timestamp_mtn"
     )
-    since = forecasts.agg(F.min("forecast_timestamp_mtn")).scalar()
-    actuals = joined.filter(F.col("energy_timestamp_mtn") >= since).withColumn(
+    times = forecasts.agg(F.min("forecast_timestamp_mtn").alias("since"), F.max("forecast_timestamp_mtn").alias("until"))
+    since, until = times.select("since").scalar(), times.select("until").scalar()
+    compared = ["energy_timestamp_mtn", "temp_timestamp_mtn", "energy_demand", "demand_units", "series_name", "temp_F", "date_energy_updated"]
+    actuals = settle(joined.select(*compared).filter(F.col("energy_timestamp_mtn").between(since, until)), "actuals").withColumn(
         "forecast_timestamp_mtn", F.col("energy_timestamp_mtn")
     )
-    times = (
-        joined.select(F.col("energy_timestamp_mtn").alias("forecast_timestamp_mtn"))
-        if demand is None
-        else demand.select(F.col("timestamp_MTN").alias("forecast_timestamp_mtn"))
-    )
-    return left_join_fan_out(forecasts, actuals, ["forecast_timestamp_mtn"], right_keys=times).select(
+    return left_join_dealt(forecasts, actuals, ["forecast_timestamp_mtn"]).select(
         "energy_timestamp_mtn",
         "predicted_energy_demand",
         "temp_f_forecast",

@@ -14,6 +14,16 @@ from loadvane.sources.lake import conform
 #: What tells observations apart.
 OBSERVATION = ["lat", "lon", "timestamp"]
 
+
+def one_per_observation(df: DataFrame) -> DataFrame:
+    """Of the repeats of an observation that differ the one with the largest values, column by column.
+
+    The order is total, so a batch that runs again keeps the same ones.
+    """
+    rest = [c for c in df.columns if c not in OBSERVATION]
+    return df.groupBy(*OBSERVATION).agg(F.max(F.struct(*rest)).alias("kept")).select("kept.*", *OBSERVATION)
+
+
 def live_observations(
     spark: SparkSession, raw: str, files_per_batch: int = 1000, wholetext: bool = True
 ) -> DataFrame:
@@ -35,12 +45,13 @@ def append_new(out: str):
     """A batch writer: observations whose place and time are not stored yet, however late.
 
     Rows go to folders by day and batch. A batch that runs again replaces what it wrote, and is
-    compared with the other batches of the days it touches only.
+    compared with the other batches of the days it touches only, of which no more than the
+    columns that tell observations apart are read.
     """
 
     def write(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
-        fresh = batch.dropDuplicates(OBSERVATION).withColumn("day", F.to_date("timestamp"))
+        fresh = one_per_observation(batch).withColumn("day", F.to_date("timestamp"))
         days = [r["day"] for r in fresh.select("day").distinct().collect()]
         if not days:
             return

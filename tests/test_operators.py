@@ -129,7 +129,8 @@ def brute_as_of(rows, as_of):
     return {(k, v, *x) for (k, v), x in best.items()}
 
 
-def test_as_of_one_and_many(spark, uncoalesced):
+@pytest.mark.parametrize("few", [asof.FEW, 2])
+def test_as_of_one_and_many(spark, uncoalesced, few):
     rows = forecast_rows()
     df = spark.createDataFrame(rows, "k string, forecast_time timestamp_ntz, creation_time timestamp_ntz, temp_F long")
     moments = [START + timedelta(hours=h) for h in (0, 24, 25, 100, 177, 500)] + [rows[0][2], rows[1][1]]
@@ -137,7 +138,7 @@ def test_as_of_one_and_many(spark, uncoalesced):
     one = asof.forecast_as_of(df, F.lit("2022-01-02").cast("timestamp_ntz"), ["k"])
     assert {tuple(r) for r in one.collect()} == expected[START + timedelta(hours=24)]
     asked = spark.createDataFrame([(m,) for m in moments], "as_of timestamp_ntz")
-    many = [tuple(r) for r in asof.forecast_as_of_many(df, asked, ["k"]).collect()]
+    many = [tuple(r) for r in asof.forecast_as_of_many(df, asked, ["k"], few=few).collect()]
     assert len(many) == len(set(many))
     assert set(many) == {(m, *x) for m, found in expected.items() for x in found}
 
