@@ -79,6 +79,23 @@ def nearest_cell(points: DataFrame, grid: LambertGrid, lon: str = "lon", lat: st
 
 
 def grid_series(messages: DataFrame, points: DataFrame, grid: LambertGrid) -> DataFrame:
-    """Forecast series of every point, by an equi-join on its cell."""
+    """Forecast series of every point, by an equi-join on its cell.
+
+    The wanted cells, at most as many as the grid has, are one array in the plan; a message's
+    values are picked by it, so it leaves one row per wanted cell, not one per cell.
+    """
     located = nearest_cell(points, grid)
-    return grid_cube(messages, grid).select("valid_time", "iy", "ix", "value").join(located, ["iy", "ix"])
+    cell = F.col("iy") * grid.nx + F.col("ix")
+    wanted = located.select(cell.alias("cell")).agg(F.array_sort(F.collect_set("cell")).alias("cells")).scalar()
+    picked = (
+        messages.select("valid_time", "values", F.explode(wanted).alias("cell"))
+        .filter(F.col("cell") < F.size("values"))
+        .select("valid_time", "cell", F.get("values", F.col("cell")).alias("value"))
+    )
+    placed = picked.select(
+        "valid_time",
+        F.floor(F.col("cell") / grid.nx).cast("int").alias("iy"),
+        (F.col("cell") % grid.nx).cast("int").alias("ix"),
+        "value",
+    )
+    return placed.join(located, ["iy", "ix"])

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loadvane.operators.quantiles import exact_quantiles
+from loadvane.session import settle
 
 MONTHS = list(range(1, 13))
 
@@ -77,15 +78,18 @@ def rows_with_null(df: DataFrame, column: str) -> DataFrame:
 
 
 def histogram(df: DataFrame, value: str, bins: int = 20) -> DataFrame:
-    """Equal-width counts over the value's range; the last bin is closed, empty bins are kept."""
+    """Equal-width counts over the value's range; the last bin is closed, empty bins are kept.
+
+    The known values are stored as one column, so ``df`` is evaluated once.
+    """
+    df = settle(df.select(value).filter(F.col(value).isNotNull()), "histogram-values")
     edges = df.agg(F.min(value).alias("low"), F.max(value).alias("high"))
     low = edges.select("low").scalar()
     high = edges.select("high").scalar()
     v = F.col(value)
     placed = F.when(low == high, F.lit(1)).otherwise(F.least(F.width_bucket(v, low, high, F.lit(bins)), F.lit(bins)))
     counted = (
-        df.filter(v.isNotNull())
-        .select(placed.cast("int").alias("bin"))
+        df.select(placed.cast("int").alias("bin"))
         .groupBy("bin")
         .agg(F.count(F.lit(1)).alias("n"))
     )

@@ -2,17 +2,19 @@
 
 from __future__ import annotations
 
-import math
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 from datetime import datetime, timedelta
 
 import numpy as np
+import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from loadvane.functions.timefn import epoch_micros
+from loadvane.session import settle, ship_package
 
 
 @dataclass(frozen=True)
@@ -46,77 +48,89 @@ class LinearModel:
 MODEL_SCHEMA = "features array<string>, coefficients array<double>, intercept double"
 
 
-def _scaling(rows: DataFrame, features: Sequence[str], intercept: bool) -> tuple[list[float], list[float]]:
-    """Shift and scale of each feature, from one pass: mean and deviation, or without an
-    intercept 0 and the root mean square.
+def factors(rows: DataFrame, width: int) -> DataFrame:
+    """``fold, n, factor``: per fold the count and the triangular factor of its rows.
 
-    Sums of products of scaled features keep their precision. A deviation that is only
-    rounding noise of the mean belongs to a constant feature and is not used.
+    ``rows`` have ``fold`` and ``x``, an array of ``width`` doubles. The factor R of a QR
+    decomposition stands for its rows in every least-squares problem, and the factor of two
+    factors on top of each other for the rows of both; unlike sums of products it does not square
+    the error. A task sends one small triangle per fold, which merge in two steps.
     """
-    cast = rows.selectExpr(*[f"CAST(`{f}` AS DOUBLE) AS x_{i}" for i, f in enumerate(features)])
-    row = cast.selectExpr(
-        *[f"{fn}(x_{i}) AS {fn}_{i}" for i in range(len(features)) for fn in ("avg", "stddev_pop")]
-    ).first()
-    middle, spread = [], []
-    for i in range(len(features)):
-        mean, deviation = row[f"avg_{i}"] or 0.0, row[f"stddev_pop_{i}"] or 0.0
-        if intercept:
-            middle.append(mean)
-            spread.append(deviation if deviation > 1e-9 * abs(mean) else max(abs(mean), 1.0))
-        else:
-            middle.append(0.0)
-            spread.append(math.hypot(mean, deviation) or 1.0)
-    return middle, spread
-
-
-def _scaled(feature: str, middle: float, spread: float) -> str:
-    return f"(CAST(`{feature}` AS DOUBLE) - ({middle!r}D)) / {spread!r}D"
-
-
-def _product_sums(p: int) -> list[str]:
-    """Aggregates of the columns ``x_0 … y`` that least squares needs."""
-    return [
-        "CAST(count(*) AS DOUBLE) AS n",
-        "sum(y) AS sy",
-        *[f"sum(x_{i}) AS s_{i}" for i in range(p)],
-        *[f"sum(x_{i} * y) AS b_{i}" for i in range(p)],
-        *[f"sum(x_{i} * x_{j}) AS g_{i}_{j}" for i in range(p) for j in range(i, p)],
-    ]
-
-
-def _solver(p: int, intercept: bool):
-    """Weights and constant from the sums; of minimum norm, as a feature may be constant."""
-
-    def solve(row) -> tuple[np.ndarray, float]:
-        gram = np.empty((p, p))
-        for i in range(p):
-            for j in range(i, p):
-                gram[i, j] = gram[j, i] = row[f"g_{i}_{j}"]
-        cross = np.array([row[f"b_{i}"] for i in range(p)])
-        sums, total, n = np.array([row[f"s_{i}"] for i in range(p)]), row["sy"], row["n"]
-        if intercept:
-            gram, cross = gram - np.outer(sums, sums) / n, cross - sums * total / n
-        beta = np.linalg.lstsq(gram, cross, rcond=1e-11)[0]
-        return beta, (total - beta @ sums) / n if intercept else 0.0
-
-    return solve
+    ship_package(rows.sparkSession)
+    schema = "fold int, n long, factor array<double>"
+
+    def reduced(found: dict[int, list]) -> pa.RecordBatch:
+        columns = [list(found), [n for n, _ in found.values()], [r.ravel() for _, r in found.values()]]
+        kinds = [pa.int32(), pa.int64(), pa.list_(pa.float64())]
+        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=["fold", "n", "factor"])
+
+    def add(found: dict[int, list], fold: int, n: int, block: np.ndarray) -> None:
+        before = found.get(fold, (0, np.zeros((0, width))))
+        found[fold] = (before[0] + n, _triangle(np.vstack([before[1], block])))
+
+    def of_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found: dict[int, list] = {}
+        for batch in batches:
+            folds = batch.column("fold").to_numpy()
+            x = batch.column("x").flatten().to_numpy(zero_copy_only=False).reshape(-1, width)
+            for fold in np.unique(folds).tolist():
+                part = x[folds == fold]
+                add(found, fold, len(part), part)
+        yield reduced(found)
+
+    def merged(group: pa.Table) -> pa.Table:
+        found: dict[int, list] = {}
+        for fold, n, factor in zip(*(group.column(c).to_pylist() for c in ("fold", "n", "factor"))):
+            add(found, fold, n, np.array(factor).reshape(-1, width))
+        return pa.Table.from_batches([reduced(found)])
+
+    pieces = rows.select("fold", "x").mapInArrow(of_rows, schema).withColumn("near", F.spark_partition_id() % 64)
+    return (
+        pieces.groupBy("fold", "near")
+        .applyInArrow(lambda t: merged(t.drop_columns(["near"])), schema)
+        .groupBy("fold")
+        .applyInArrow(merged, schema)
+    )
+
+
+def _triangle(rows: np.ndarray) -> np.ndarray:
+    return np.linalg.qr(rows, mode="r")
+
+
+def _solve(factor: np.ndarray, intercept: bool) -> tuple[np.ndarray, float]:
+    """Weights and constant; of minimum norm in features of unit spread, as one may be constant.
+
+    The first column is the constant, the last one the label. With an intercept the triangle
+    below the first row is the factor of the centred columns. A spread that is only rounding
+    noise of the mean belongs to a constant feature, which gets no weight.
+    """
+    size = factor.shape[1]
+    square = np.zeros((size, size))
+    square[: len(factor)] = factor
+    first = 1 if intercept else 0
+    design, label = square[first:, 1:-1], square[first:, -1]
+    spread, level = np.linalg.norm(design, axis=0), np.abs(square[0, 1:-1])
+    used = spread > 1e-9 * level if intercept else spread > 0
+    beta = np.zeros(size - 2)
+    if used.any():
+        scaled = design[:, used] / spread[used]
+        beta[used] = np.linalg.lstsq(scaled, label, rcond=1e-9)[0] / spread[used]
+    constant = (square[0, -1] - square[0, 1:-1] @ beta) / square[0, 0] if intercept else 0.0
+    return beta, float(constant)
+
+
+def _design(features: Sequence[str]) -> Column:
+    return F.array(F.lit(1.0), *(F.col(f).cast("double") for f in features), F.col("y")).alias("x")
 
 
 def fit_ols(df: DataFrame, features: Sequence[str], label: str, intercept: bool = True) -> LinearModel:
-    """Ordinary least squares from cross-product sums: two aggregations, one row to the driver each."""
+    """Ordinary least squares from one triangular factor, made in one pass over the rows."""
     rows = df.select(*features, F.col(label).cast("double").alias("y")).na.drop()
-    middle, spread = _scaling(rows, features, intercept)
-    p = len(features)
-    sums = (
-        rows.selectExpr("y", *[f"{_scaled(f, middle[i], spread[i])} AS x_{i}" for i, f in enumerate(features)])
-        .selectExpr(*_product_sums(p))
-        .first()
-    )
-    if not sums["n"]:
+    found = factors(rows.select(F.lit(0).alias("fold"), _design(features)), len(features) + 2).collect()
+    if not found:
         raise ValueError("no complete rows to fit")
-    beta, constant = _solver(p, intercept)(sums)
-    weights = beta / np.array(spread)
-    return LinearModel(tuple(features), tuple(map(float, weights)), float(constant - weights @ np.array(middle)))
+    beta, constant = _solve(np.array(found[0]["factor"]).reshape(-1, len(features) + 2), intercept)
+    return LinearModel(tuple(features), tuple(map(float, beta)), constant)
 
 
 def _micros(moment: datetime) -> int:
@@ -192,56 +206,56 @@ def cross_validate(
 ) -> DataFrame:
     """Expanding-window cross-validation of least squares: ``features, ds, y, yhat, cutoff``.
 
-    Training sets are nested, so the rows between two cutoffs are reduced once to their
-    cross-product sums, and those are added up over the few cutoffs: the rows are
-    aggregated once, whatever the number of folds. ``period`` defaults to half a horizon, ``initial`` to three.
+    Training sets are nested: the rows between two cutoffs are reduced once to a triangular
+    factor, and the factor of a training set is that of the one before and the next piece.
+    The rows are stored once, whatever ``df`` is, read once for the factors and once for the
+    tests. ``period`` defaults to half a horizon, ``initial`` to three.
     """
     period = horizon / 2 if period is None else period
     initial = 3 * horizon if initial is None else initial
-    cuts = sorted(cutoffs) if cutoffs is not None else generate_cutoffs(df, ts, horizon, initial, period)
-    marks = [_micros(c) for c in cuts]
+    stored = settle(
+        df.select(
+            F.col(ts).alias("ds"),
+            epoch_micros(ts).alias("at"),
+            *features,
+            F.col(label).cast("double").alias("y"),
+        ),
+        "fold-rows",
+    )
+    rows = stored.na.drop()
+    # cutoffs depend on all times, also those of incomplete rows
+    cuts = sorted(cutoffs) if cutoffs is not None else generate_cutoffs(stored, "ds", horizon, initial, period)
+    order = np.array([_micros(c) for c in cuts])
     reach = horizon // timedelta(microseconds=1)
-    p = len(features)
-    rows = df.select(
-        F.col(ts).alias("ds"),
-        epoch_micros(ts).alias("at"),
-        *features,
-        F.col(label).cast("double").alias("y"),
-    ).na.drop()
-
-    middle, spread = _scaling(rows, features, intercept)
+    width = len(features) + 2
+
+    @F.pandas_udf("int")
+    def cuts_before(at: pd.Series) -> pd.Series:
+        return pd.Series(np.searchsorted(order, at.to_numpy(), "left").astype(np.int32))
+
     at = F.col("at")
-    marked = F.lit(marks)
-    fold_of = F.size(F.filter(marked, lambda c: c < at))
-    pieces = (
-        rows.filter(F.col("ds") <= F.lit(cuts[-1].isoformat()).cast("timestamp_ntz"))
-        .withColumn("fold", fold_of)
-        .selectExpr("fold", "y", *[f"{_scaled(f, middle[i], spread[i])} AS x_{i}" for i, f in enumerate(features)])
-        .groupBy("fold")
-        .agg(*map(F.expr, _product_sums(p)))
-    )
-    # one row of sums per cutoff, so adding up and solving is a few small systems
-    nested = (
-        pieces.toPandas().set_index("fold").reindex(range(len(marks))).fillna(0.0).cumsum()
-    )
-    if nested["n"].iloc[0] < 2:
-        raise ValueError("fewer than two rows before a cutoff; make the initial window longer")
-    solve = _solver(p, intercept)
-    fitted = []
-    for fold, (_, sums) in enumerate(nested.iterrows()):
-        beta, constant = solve(sums)
-        fitted.append((fold, cuts[fold], [float(b) for b in beta], float(constant)))
+    training = rows.filter(at <= int(order[-1])).withColumn("fold", cuts_before("at"))
+    pieces = {r["fold"]: r for r in factors(training.select("fold", _design(features)), width).collect()}
+    held, factor, fitted = 0, np.zeros((0, width)), []
+    for fold, cut in enumerate(cuts):
+        if fold in pieces:
+            held += pieces[fold]["n"]
+            factor = _triangle(np.vstack([factor, np.array(pieces[fold]["factor"]).reshape(-1, width)]))
+        if held < 2:
+            raise ValueError("fewer than two rows before a cutoff; make the initial window longer")
+        beta, constant = _solve(factor, intercept)
+        fitted.append((fold, cut, beta.tolist(), constant))
     models = df.sparkSession.createDataFrame(
         fitted, "fold int, cutoff timestamp_ntz, beta array<double>, constant double"
     )
-    reached = F.filter(
-        F.sequence(F.lit(0), F.lit(len(marks) - 1)),
-        lambda k: (F.get(marked, k) < at) & (at <= F.get(marked, k) + reach),
-    )
-    tested = rows.filter(F.col("ds") > F.lit(cuts[0].isoformat()).cast("timestamp_ntz")).withColumn(
-        "fold", F.explode(reached)
+    # a row is tested by the cutoffs before it that reach it, which follow each other
+    tested = (
+        rows.filter(at > int(order[0]))
+        .select("*", cuts_before("at").alias("stop"), cuts_before(at - reach).alias("start"))
+        .filter("start < stop")
+        .withColumn("fold", F.explode(F.sequence("start", F.col("stop") - 1)))
     )
-    terms = [f"beta[{i}] * ({_scaled(f, middle[i], spread[i])})" for i, f in enumerate(features)]
+    terms = [f"beta[{i}] * CAST(`{f}` AS DOUBLE)" for i, f in enumerate(features)]
     return tested.join(F.broadcast(models), "fold").selectExpr(
         *[f"`{f}`" for f in features], "ds", "y", f"{' + '.join(['constant', *terms])} AS yhat", "cutoff"
     )

@@ -91,25 +91,36 @@ def evaluate_spline(x: np.ndarray, y: np.ndarray, second: np.ndarray, at: np.nda
     return np.where(at == x[i + 1], y[i + 1], value)
 
 
+def lagrange(x: np.ndarray, y: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """The polynomial of least degree through a few points."""
+    total = np.zeros(len(at))
+    for i in range(len(x)):
+        others = np.delete(x, i)
+        total += y[i] * np.prod((at[:, None] - others) / (x[i] - others), axis=1)
+    known = np.searchsorted(x, at)
+    return np.where(np.isin(at, x), y[np.minimum(known, len(x) - 1)], total)
+
+
 def _spline_block(step: int):
     def fill(knots: pd.DataFrame) -> pd.DataFrame:
         knots = knots.sort_values("knot_second")
         carried = knots.columns.drop(["knot_second", "knot_value", "is_core", "halo_block"])
         if not knots["is_core"].any():
             return knots[carried].iloc[:0].assign(at_second=0, filled=0.0)
+        first = knots[carried].iloc[[0]]
         seconds = knots["knot_second"].to_numpy()
         x, y = seconds.astype(float) / step, knots["knot_value"].to_numpy(float)
         where = np.flatnonzero(knots["is_core"].to_numpy())
         start = seconds[where[0]]
         stop = seconds[where[-1] + 1] if where[-1] + 1 < len(seconds) else seconds[where[-1]] + step
         at = np.arange(start, stop, step)
+        if np.any(np.diff(seconds) == 0):
+            raise ValueError(f"a time occurs twice in the series {first.iloc[0].to_dict()}")
         if len(x) >= 4:
             filled = evaluate_spline(x - x[0], y, spline_second_derivatives(x, y), at / step - x[0])
-        elif np.all(np.diff(seconds) == step):
-            filled = y[where[0] : where[0] + len(at)]
         else:
-            raise ValueError("a cubic needs at least 4 known points in a series")
-        first = knots[carried].iloc[[0]]
+            # a parabola, a line or one value: the curve of least degree through all points
+            filled = lagrange(x - x[0], y, at / step - x[0])
         out = first.loc[first.index.repeat(len(at))].reset_index(drop=True)
         return out.assign(at_second=at, filled=filled)
 
@@ -142,7 +153,9 @@ def upsample(
 
     Times must be unique per key. ``cubic`` is the not-a-knot spline over all known
     points of the key: a long key is solved in blocks whose halo is long enough for the
-    result to be the same to double precision. ``linear`` stays in the JVM.
+    result to be the same to double precision. A key with three known points gets the
+    parabola through them, one with two the line. Known points off the steps play no part.
+    ``linear`` stays in the JVM.
     """
     if method == "linear":
         blocks = _knot_blocks(df, keys, ts, value, step_seconds, 0, 1, block_knots)

@@ -218,8 +218,17 @@ def test_upsampling_few_points(spark):
         return spark.createDataFrame([("a", START + timedelta(hours=h), float(h)) for h in hours], "k string, t timestamp_ntz, v double")
 
     assert series.upsample(frame([0, 1, 2]), ["k"], "t", "v").count() == 3
-    with pytest.raises(Exception, match="at least 4"):
-        series.upsample(frame([0, 3, 6]), ["k"], "t", "v").collect()
+    # too few points for a cubic: a parabola, a line, one value; a long series beside them
+    squares = [("three", h, float(h * h)) for h in (0, 3, 5)] + [("two", h, 2.0 * h) for h in (1, 4)] + [("one", 2, 7.0)]
+    squares += [("long", h, float(h**3)) for h in (0, 2, 3, 7, 11)]
+    rows = [(k, START + timedelta(hours=h), v) for k, h, v in squares] + [("three", START + timedelta(minutes=90), 1e9)]
+    short = series.upsample(spark.createDataFrame(rows, "k string, t timestamp_ntz, v double"), ["k"], "t", "v").collect()
+    hour = {(r.k, round((r.t - START) / timedelta(hours=1))): r.v for r in short}
+    assert {k: pytest.approx(v) for k, v in hour.items()} == (
+        {("three", h): h * h for h in range(6)} | {("two", h): 2 * h for h in range(1, 5)} | {("one", 2): 7} | {("long", h): h**3 for h in range(12)}
+    )
+    with pytest.raises(Exception, match="occurs twice in the series.*'k': 'a'"):
+        series.upsample(frame([0, 3, 3, 6, 9]), ["k"], "t", "v").collect()
     linear = series.upsample(frame([0, 3, 4]), ["k"], "t", "v", method="linear").orderBy("t")
     assert [r.v for r in linear.collect()] == [0.0, 1.0, 2.0, 3.0, 4.0]
     with pytest.raises(ValueError):
@@ -392,6 +401,24 @@ def test_cutoffs_of_literal_days(spark):
     assert [(c - D(2022, 1, 1)).days for c in got] == [10, 15, 20, 25, 55, 60, 65]
 
 
+def test_ill_conditioned_features(spark):
+    # ten powers of nearly the same numbers: their sums of products have lost all digits
+    rng = np.random.default_rng(11)
+    x = 1 + 0.01 * rng.normal(size=2000)
+    features = [f"x{i}" for i in range(1, 5)]
+    design = np.stack([x**i for i in range(1, 5)], axis=1)
+    y = design @ np.array([1.0, -2.0, 3.0, -1.0]) + 5
+    df = spark.createDataFrame(pd.DataFrame(design, columns=features).assign(y=y)).repartition(7)
+    model = regression.fit_ols(df, features, "y")
+    fitted = design @ np.array(model.coefficients) + model.intercept
+    assert np.abs(fitted - y).max() < 1e-9
+    # factors of parts merge to the factor of the whole
+    parts = regression.factors(df.select(F.lit(0).alias("fold"), F.array("x1", "x2", "y").alias("x")), 3).first()
+    whole = np.stack([design[:, 0], design[:, 1], y], axis=1)
+    merged = np.array(parts.factor).reshape(-1, 3)
+    assert parts.n == 2000 and np.allclose(merged.T @ merged, whole.T @ whole)
+
+
 def test_cutoffs_need_enough_history(spark):
     df = daily(spark, 20)
     with pytest.raises(ValueError, match="than the horizon"):
