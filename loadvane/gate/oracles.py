@@ -237,8 +237,9 @@ ORACLES = {
         SELECT forecast_time + INTERVAL 9 HOUR, lon, lat, temp_F + 1, date_trunc('second', creation_time)::TIMESTAMP FROM forecasts"""),
     "station_seed": sql("""SELECT USAF, WBAN, "STATION NAME", STATE, LAT, LON, "BEGIN", "END", USAF || WBAN AS station_id FROM stations"""),
     "scan_partition_pruned": sql("SELECT * FROM yearly WHERE year = 1998"),
-    "reprocess_live_weather": sql("""SELECT *, strftime(timestamp, '%Y-%m-%d') || CASE WHEN hour(timestamp) < 12 THEN '-00' ELSE '-12' END AS landed
-        FROM live_obs WHERE timestamp >= TIMESTAMP '2024-01-10' AND timestamp < TIMESTAMP '2024-01-21'"""),
+    "reprocess_live_weather": sql("""SELECT * REPLACE (CASE WHEN timestamp >= TIMESTAMP '2024-01-10' AND timestamp < TIMESTAMP '2024-01-21'
+        THEN feels_like END AS feels_like), strftime(timestamp, '%Y-%m-%d') || CASE WHEN hour(timestamp) < 12 THEN '-00' ELSE '-12' END AS landed
+        FROM live_obs"""),
     # sinks
     "typed_write_roundtrip": sql("SELECT timestamp, value, series_id FROM demand"),
     "overwrite_twice": sql("SELECT * FROM demand"),

@@ -16,7 +16,7 @@ from loadvane.gate.inputs import GRID, Tables, scaled_text
 from loadvane.operators import asof, grid, metrics, profiles, regression, rolling, series
 from loadvane.plans import models, prediction, serving, training
 from loadvane.session import fresh_dir, ship_package, use_utc
-from loadvane.sources import documents, lake
+from loadvane.sources import documents, lake, versions
 from loadvane.streaming.live import land_live_weather, read_landed
 
 START, END = "2024-01-10", "2024-01-20"
@@ -145,9 +145,14 @@ def reprocess_live_weather(t):
     lines = t.live_documents().select("value", stamp.alias("landed")).repartition("landed")
     # one document per line here, so the reader is the line-based one
     lines.write.partitionBy("landed").text(raw)
-    return documents.reprocess_live_weather(
-        t.spark, raw, datetime(2024, 1, 10, 0), datetime(2024, 1, 20, 12), wholetext=False
-    )
+    root = fresh_dir(t.spark, "live-table")
+    # all hours, landed when one of the fields was not extracted yet
+    early, late = datetime(2000, 1, 1), datetime(2100, 1, 1)
+    old = documents.reprocess_live_weather(t.spark, raw, early, late, wholetext=False)
+    versions.replace_range(old.withColumn("feels_like", F.lit(None).cast("double")), root, "landed", "2000-01-01-00", "2100-01-01-00")
+    for _ in range(2):
+        documents.rewrite_live_weather(t.spark, raw, root, datetime(2024, 1, 10, 0), datetime(2024, 1, 20, 12), wholetext=False)
+    return versions.read_versions(t.spark, root, old.schema, "landed")
 
 
 # Sinks

@@ -7,15 +7,18 @@ otherwise look like a gap in the data.
 
 from __future__ import annotations
 
+import csv
 from datetime import datetime
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from loadvane import schemas
 from loadvane.functions.columns import normalize_series_id, split_scaled, strict_cast
 from loadvane.functions.timefn import parse_compact_hour, parse_epoch, parse_iso
+from loadvane.sources.versions import replace_range
 
 # Fixed value: the hour stamp in landed file names.
 HOUR_STAMP = r"(\d{4}-\d{2}-\d{2}-\d{2})"
@@ -82,6 +85,9 @@ def read_demand_metadata(spark: SparkSession, path: str | list[str]) -> DataFram
 
 # Station observations and stations
 
+# The columns of a station file that are used.
+STATION_COLUMNS = ("STATION", "NAME", "DATE", "TMP", "DEW")
+
 
 def typed_station_rows(df: DataFrame) -> DataFrame:
     """Split the ``"value,flag"`` fields ``TMP`` and ``DEW`` of station rows."""
@@ -109,19 +115,29 @@ def read_station_csv(spark: SparkSession, path: str | list[str]) -> DataFrame:
 
     Files differ in their optional columns. They are grouped by their first line, and each
     group is read under its own header, so the driver holds one row per header and file.
+    A file whose first line lacks a needed column is an error; an empty file has no rows.
     """
-    first = (
-        spark.read.text(path, lineSep="\n")
-        .select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"))
-        .where((F.col("block") == 0) & F.col("value").contains("STATION"))
-        .groupBy("file")
-        .agg(F.min(F.rtrim(F.regexp_replace("value", "\r$", ""))).alias("header"))
+    lines = spark.read.text(path, lineSep="\n").select(
+        "value",
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("block"),
+        # grows with the lines of a block, so the least is the first line
+        F.monotonically_increasing_id().alias("line"),
+    )
+    first = lines.where(F.col("block") == 0).groupBy("file").agg(F.min_by("value", "line").alias("header"))
+    groups = (
+        first.groupBy(F.regexp_replace("header", "^\ufeff|\\s+$", "").alias("header"))
+        .agg(F.array_sort(F.collect_list("file")).alias("files"))
+        .orderBy("header")
+        .collect()
     )
-    groups = first.groupBy("header").agg(F.array_sort(F.collect_list("file")).alias("files")).orderBy("header").collect()
-    tables = []
+    tables = [spark.createDataFrame([], schemas.STATION_OBSERVATIONS)]
     for group in groups:
-        names = spark.read.option("header", "true").csv(group["files"][0]).columns
-        schema = ", ".join(f"`{n}` string" for n in names)
+        names = next(csv.reader([group["header"]]), [])
+        lacking = [c for c in STATION_COLUMNS if c not in names]
+        if lacking:
+            raise ValueError(f"no column {', '.join(lacking)} in the first line of {', '.join(group['files'][:5])}")
+        schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
         rows = spark.read.schema(schema).option("header", "true").option("enforceSchema", "false").csv(group["files"])
         tables.append(typed_station_rows(rows))
     return reduce(DataFrame.unionByName, tables)
@@ -173,6 +189,18 @@ def reprocess_live_weather(
     return parse_live_weather(raw.filter(F.col("landed").between(first, last)), keep=("landed",))
 
 
+def rewrite_live_weather(
+    spark: SparkSession, path: str, root: str, start: datetime, end: datetime, wholetext: bool = True
+) -> int:
+    """Put the re-extracted hours from ``start`` to ``end`` in place of the table's rows of them.
+
+    The table under ``root`` is one of ``sources.versions``: the hours change all at once, and
+    the same rewrite again changes nothing. Returns the version.
+    """
+    first, last = (moment.strftime("%Y-%m-%d-%H") for moment in (start, end))
+    return replace_range(reprocess_live_weather(spark, path, start, end, wholetext), root, "landed", first, last)
+
+
 # Point forecast XML
 
 

@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from loadvane import schemas
-from loadvane.sources import documents, lake
+from loadvane.sources import documents, lake, versions
 from loadvane.streaming.live import land_live_weather, read_landed
 
 
@@ -81,6 +81,22 @@ def test_station_files_with_different_headers(spark, tmp_path):
     assert sorted((r.STATION, r.NAME, r.DATE, r.temperature_degC) for r in rows) == [("1", "A, X", "t1", 10.0), ("2", "B", "t2", 20.0)]
 
 
+def test_station_files_are_read_by_their_first_line(spark, tmp_path):
+    header = "STATION,DATE,NAME,TMP,DEW"
+    # a row may hold the word, a file may be empty, lines may end in two characters
+    (tmp_path / "a.csv").write_text(f'{header}\n1,t1,"STATION A, X","+0100,1","+0050,1"\n')
+    (tmp_path / "b.csv").write_bytes(f'{header}\r\n2,t2,B,"+0200,1","+0060,1"\r\n'.encode())
+    (tmp_path / "c.csv").write_text("")
+    rows = documents.read_station_csv(spark, str(tmp_path)).collect()
+    assert sorted((r.STATION, r.NAME, r.temperature_degC) for r in rows) == [("1", "STATION A, X", 10.0), ("2", "B", 20.0)]
+    (tmp_path / "d.csv").write_text('station,DATE,NAME,TMP,DEW\n3,t3,C,"+0100,1","+0050,1"\n')
+    with pytest.raises(ValueError, match="no column STATION in the first line of .*d.csv"):
+        documents.read_station_csv(spark, str(tmp_path))
+    (tmp_path / "none").mkdir()
+    (tmp_path / "none" / "x.csv").write_text("")
+    assert documents.read_station_csv(spark, str(tmp_path / "none")).count() == 0
+
+
 def test_station_seed_keeps_leading_zeros(spark, tmp_path):
     (tmp_path / "s.csv").write_text(
         "USAF,WBAN,STATION NAME,STATE,LAT,LON,BEGIN,END\n007026,00999,AIRPORT X,CO,39.5,-104.8,1990-01-01,2022-07-01\n"
@@ -147,6 +163,39 @@ def test_reprocess_picks_files_by_hour(spark, tmp_path):
     assert sorted(r.temp for r in got.collect()) == [1.0, 2.0, 3.0]
 
 
+def test_ranges_are_replaced_at_once(spark, tmp_path):
+    raw, root = tmp_path / "raw", str(tmp_path / "table")
+    raw.mkdir()
+
+    def land(temps):
+        for hour, temp in temps.items():
+            (raw / f"2022-07-01-{hour:02d}.json").write_text(json.dumps(live_doc(dt=1656633600 + 3600 * hour, temp=temp)))
+
+    def rewrite(first, last):
+        return documents.rewrite_live_weather(spark, str(raw), root, D(2022, 7, 1, first), D(2022, 7, 1, last))
+
+    def stored(version=None):
+        rows = versions.read_versions(spark, root, shape, "landed", version).collect()
+        return {int(r.landed[-2:]): r.temp for r in rows}
+
+    land({h: h for h in range(5)})
+    shape = documents.reprocess_live_weather(spark, str(raw), D(2022, 7, 1), D(2022, 7, 1)).schema
+    assert stored() == {}
+    assert rewrite(0, 4) == 0 and stored() == {h: h for h in range(5)}
+    land({1: 10, 2: 20})
+    (raw / "2022-07-01-03.json").unlink()
+    rewrite(1, 3)
+    # a new value, a row that is gone, and rows beside the range as they were
+    assert stored() == {0: 0, 1: 10, 2: 20, 4: 4}
+    rewrite(1, 3)
+    assert stored() == {0: 0, 1: 10, 2: 20, 4: 4} and stored(0) == {h: h for h in range(5)}
+    # what breaks off before its manifest is not there
+    spark.createDataFrame([(1.0, "2022-07-01-00")], "temp double, landed string").write.parquet(f"{root}/data/broken")
+    with pytest.raises(Exception, match="outside the replaced range"):
+        versions.replace_range(documents.reprocess_live_weather(spark, str(raw), D(2022, 7, 1), D(2022, 7, 1, 4)), root, "landed", "2022-07-01-00", "2022-07-01-02")
+    assert stored() == {0: 0, 1: 10, 2: 20, 4: 4}
+
+
 @pytest.mark.parametrize("ansi", ["true", "false"])
 def test_typed_write_refuses_bad_values_and_missing_columns(spark, tmp_path, ansi):
     spark.conf.set("spark.sql.ansi.enabled", ansi)
