@@ -24,12 +24,20 @@ Cut = tuple[int, float, float, int, int, int]
 
 
 def _with_cuts(rows: DataFrame, level: dict[int, tuple], names: str) -> DataFrame:
-    """Each row of a node in ``level`` with its node's values; the small side has a row per node.
+    """Each row with the values of its node in ``level``, null where it has none.
 
-    Nodes are fewer than shards, so the broadcast is bounded by the shard count.
+    The values are literals of the plan; nodes are fewer than shards.
     """
-    small = rows.sparkSession.createDataFrame([(n, *values) for n, values in level.items()], f"node int, {names}")
-    return rows.join(F.broadcast(small), "node", "left")
+    fields = [field.split(" ") for field in names.split(", ")]
+
+    def cut(values: tuple) -> Column:
+        return F.struct(*(F.lit(v).cast(kind).alias(name) for v, (name, kind) in zip(values, fields)))
+
+    if not level:
+        return rows.select("*", *(F.lit(None).cast(kind).alias(name) for name, kind in fields))
+    cuts = F.create_map(*(part for node, values in level.items() for part in (F.lit(node), cut(values))))
+    found = rows.withColumn("cut", F.try_element_at(cuts, F.col("node")))
+    return found.select(*rows.columns, *(F.col(f"cut.{name}").alias(name) for name, _ in fields))
 
 
 def _code(dims: list[str]) -> Column:
@@ -70,11 +78,15 @@ def _extent(dims: list[str]) -> list[Column]:
     return [f(d).alias(f"{d}_{n}") for d in dims for n, f in (("low", F.min), ("high", F.max))]
 
 
-def grow_tree(rows: DataFrame, dims: list[str], shards: int) -> list[dict[int, Cut]]:
-    """The cuts of every tree level. rows: dims as doubles, tie (int below BINS) and weight."""
+def grow_tree(rows: DataFrame, dims: list[str], shards: int) -> DataFrame:
+    """Rows with the ``node``, the shard, that the tree puts them in.
+
+    rows: dims as doubles, tie (int below BINS) and weight. They are stored after each level, so
+    that no level goes through the cuts above it again.
+    """
     spans = rows.agg(*_extent(dims)).first()
     whole = [(spans[f"{d}_high"] or 0.0) - (spans[f"{d}_low"] or 0.0) for d in dims]
-    held, levels = {0: shards}, []
+    held = {0: shards}
     placed = rows.withColumn("node", F.lit(0))
     while max(held.values()) > 1:
         stats = placed.groupBy("node").agg(F.sum("weight").alias("weight"), *_extent(dims))
@@ -102,10 +114,9 @@ def grow_tree(rows: DataFrame, dims: list[str], shards: int) -> list[dict[int, C
             over = before + weight - rest < rest - before
             dim, low, scale, _, _, step = level[first]
             level[first] = (dim, low, scale, at, mark + int(over), step)
-        levels.append(level)
         held = {k: v for first, n in held.items() for k, v in ([(first, n // 2), (first + n // 2, n - n // 2)] if n > 1 else [(first, n)])}
-        placed = _descend(placed, dims, level)
-    return levels
+        placed = store(_descend(placed, dims, level), "shard-level")
+    return placed
 
 
 def shard(
@@ -142,10 +153,7 @@ def shard(
     ]
     mark = F.when(F.col("crowd").isin(*large), own).otherwise(F.col("crowd")) if large else F.col("crowd")
     rows = narrow.withColumn("tie", F.pmod(F.xxhash64(mark), F.lit(BINS)).cast("int")).withColumn("weight", F.col("size"))
-    placed = rows.withColumn("node", F.lit(0))
-    for level in grow_tree(rows, names, shards):
-        placed = _descend(placed, names, level)
-    sharded = placed.select(*keep, "size", "crowd", F.col("node").alias("shard"))
+    sharded = grow_tree(rows, names, shards).select(*keep, "size", "crowd", F.col("node").alias("shard"))
     # rows are numbered in blocks of bounded size; block totals give each block its first slot
     blocks = max(1, -(-narrow.count() // (BLOCK_ROWS * shards)))
     blocked = sharded.withColumn("block", F.pmod(own, F.lit(blocks)))
