@@ -58,4 +58,14 @@ SELECT doc_id, size, source_size, target,
 FROM fourth_round
 """
 
-ORACLES: dict[str, str] = {"op1_mixing": OP1}
+ORACLES: dict[str, str] = {
+    "op1_mixing": OP1,
+    "op9_pivot_search": """WITH usable AS (
+            SELECT vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)) AS whole FROM embeddings
+            WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x::DOUBLE))) = 0),
+        scored AS (
+            SELECT q.vec_id AS query_id, c.vec_id, list_dot_product(q.whole, c.whole)::BIGINT AS score
+            FROM usable q JOIN usable c ON c.vec_id <> q.vec_id AND len(c.whole) = len(q.whole) WHERE q.vec_id % 20 = 0)
+        SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank, vec_id, score
+        FROM scored QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) <= 20""",
+}
