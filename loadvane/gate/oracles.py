@@ -145,7 +145,7 @@ def sql(body: str) -> str:
                 todo.append(part)
     if not needed:
         return body
-    return "WITH " + ",\n".join(f"{n} AS ({PARTS[n]})" for n in PARTS if n in needed) + "\n" + body
+    return "WITH RECURSIVE " + ",\n".join(f"{n} AS ({PARTS[n]})" for n in PARTS if n in needed) + "\n" + body
 
 
 def window_mean(measures: dict[str, str], w: str) -> str:
@@ -223,6 +223,78 @@ NATIONS = "SELECT n_nationkey AS point, n_nationkey * 1.7::DOUBLE - 125 AS lon,
 CUSTOMERS = """SELECT c_custkey AS point, (c_custkey % 600) / 10.0::DOUBLE - 125 AS lon,
     (c_custkey % 250) / 10.0::DOUBLE + 24 AS lat FROM customer"""
 
+def spline(p: str, source: str) -> dict[str, str]:
+    """Parts for the hourly not-a-knot spline of each place of ``source``, by a sweep down and up its knots."""
+    place = "PARTITION BY lat, lon ORDER BY forecast_time"
+    on = "b.lat = a.lat AND b.lon = a.lon AND b.i ="
+    return {
+        f"{p}_knots": f"""SELECT lat, lon, forecast_time, epoch(forecast_time) / 3600.0::DOUBLE AS x, temp_F::DOUBLE AS y,
+            row_number() OVER w - 1 AS i, count(*) OVER (PARTITION BY lat, lon) AS n FROM {source} WINDOW w AS ({place})""",
+        f"{p}_steps": f"""SELECT *, lag(h) OVER w AS hp, lag(h, 2) OVER w AS hpp, lead(h) OVER w AS hn, lag(s) OVER w AS sp FROM (
+            SELECT *, lead(x) OVER w - x AS h, (lead(y) OVER w - y) / (lead(x) OVER w - x) AS s FROM {p}_knots WINDOW w AS ({place}))
+            WINDOW w AS ({place})""",
+        f"{p}_rows": f"""SELECT lat, lon, i, n, 6 * (s - sp) AS rhs,
+            2 * (hp + h) + CASE WHEN i = 1 THEN hp + hp * hp / h ELSE 0 END + CASE WHEN i = n - 2 THEN h + h * h / hp ELSE 0 END AS diag,
+            h - CASE WHEN i = 1 THEN hp * hp / h ELSE 0 END AS upper, hp - CASE WHEN i = n - 2 THEN h * h / hp ELSE 0 END AS lower
+            FROM {p}_steps WHERE i BETWEEN 1 AND n - 2""",
+        f"{p}_down": f"""SELECT lat, lon, i, n, diag AS d, rhs AS r, upper FROM {p}_rows WHERE i = 1 UNION ALL
+            SELECT b.lat, b.lon, b.i, b.n, b.diag - b.lower / a.d * a.upper, b.rhs - b.lower / a.d * a.r, b.upper
+            FROM {p}_down a JOIN {p}_rows b ON {on} a.i + 1""",
+        f"{p}_up": f"""SELECT lat, lon, i, r / d AS m FROM {p}_down WHERE i = n - 2 UNION ALL
+            SELECT b.lat, b.lon, b.i, (b.r - b.upper * a.m) / b.d FROM {p}_up a JOIN {p}_down b ON {on} a.i - 1""",
+        f"{p}_curve": f"""SELECT *, coalesce(m, CASE WHEN i = 0 THEN lead(m) OVER w - h / hn * (lead(m, 2) OVER w - lead(m) OVER w)
+            ELSE lag(m) OVER w + hp / hpp * (lag(m) OVER w - lag(m, 2) OVER w) END) AS bend
+            FROM {p}_steps LEFT JOIN {p}_up USING (lat, lon, i) WINDOW w AS ({place})""",
+        f"{p}_hourly": f"""SELECT lat, lon, moment AS forecast_time, CASE WHEN d = 0 THEN y ELSE
+            y + d * ((y1 - y) / h - h * (2 * bend + bend1) / 6 + d * (bend / 2 + d * (bend1 - bend) / (6 * h))) END AS temp_F
+            FROM (SELECT *, (epoch(moment) - epoch(forecast_time)) / 3600.0::DOUBLE AS d FROM (SELECT *,
+            unnest(generate_series(forecast_time, coalesce(until - INTERVAL 1 HOUR, forecast_time), INTERVAL 1 HOUR)) AS moment
+            FROM (SELECT *, lead(forecast_time) OVER w AS until, lead(y) OVER w AS y1, lead(bend) OVER w AS bend1
+            FROM {p}_curve WINDOW w AS ({place}))))""",
+    }
+
+
+# The features of daily data that vary; those of the hour are 0 there and get no weight.
+VARYING = {
+    "temp_F": "temp_F", "year": "year(ds)::DOUBLE", "day_of_year": "dayofyear(ds)::DOUBLE", "is_weekend": "(isodow(ds) >= 6)::INTEGER::DOUBLE",
+    "is_summer": "(month(ds) BETWEEN 5 AND 9)::INTEGER::DOUBLE", "month": "month(ds)::DOUBLE", "temp_F_squared": "temp_F * temp_F",
+}
+
+
+def least_squares() -> dict[str, str]:
+    """Parts for the weights of each training set, by elimination on the products of scaled features."""
+    names, p = list(VARYING), len(VARYING)
+    spread = ", ".join(f"avg({f}) AS a{i}, stddev_pop({f}) AS s{i}" for i, f in enumerate(VARYING.values(), 1))
+    scaled = ", ".join(f"({f} - a{i}) / s{i} AS z{i}" for i, f in enumerate(VARYING.values(), 1)) + f", y - ay AS z{p + 1}"
+    products = ", ".join("[" + ", ".join(f"sum(z{i} * z{j})" for j in range(1, p + 2)) + "]" for i in range(1, p + 1))
+    weights = ", ".join(f"m[{i}][{p + 1}] / s{i} AS w_{f}" for i, f in enumerate(names, 1))
+    base = " - ".join(["ay", *(f"m[{i}][{p + 1}] / s{i} * a{i}" for i in range(1, p + 1))])
+    return {
+        "fit_ends": "SELECT cutoff FROM cuts UNION ALL SELECT TIMESTAMP '9999-01-01'",
+        "fit_spread": f"SELECT cutoff, avg(y) AS ay, {spread} FROM fit_ends JOIN daily ON ds <= cutoff GROUP BY cutoff",
+        "fit_products": f"""SELECT cutoff, 1 AS k, [{products}] AS m
+            FROM (SELECT cutoff, {scaled} FROM fit_spread JOIN daily ON ds <= cutoff) GROUP BY cutoff""",
+        "fit_steps": f"""SELECT cutoff, k, m FROM fit_products UNION ALL
+            SELECT cutoff, k + 1, list_transform(range(1, {p + 1}), lambda i: CASE WHEN i = k THEN list_transform(m[k], lambda v: v / m[k][k])
+            ELSE list_transform(range(1, {p + 2}), lambda j: m[i][j] - m[i][k] * m[k][j] / m[k][k]) END) FROM fit_steps WHERE k <= {p}""",
+        "weights": f"SELECT cutoff, {weights}, {base} AS base FROM fit_steps JOIN fit_spread USING (cutoff) WHERE k = {p + 1}",
+    }
+
+
+def predicted(ts: str, temp: str) -> str:
+    """The fitted function at a time and a temperature."""
+    at = {f: re.sub(r"\bds\b", ts, re.sub(r"\btemp_F\b", temp, e)) for f, e in VARYING.items()}
+    return " + ".join(["base", *(f"w_{f} * ({e})" for f, e in at.items())])
+
+
+PARTS |= {
+    "known": f"""SELECT lat, lon, forecast_time, temp_F FROM forecasts WHERE creation_time <= {AS_OF} AND forecast_time >= {AS_OF}
+        QUALIFY row_number() OVER (PARTITION BY lat, lon, forecast_time ORDER BY creation_time DESC, temp_F DESC) = 1""",
+    **spline("cubic", "newest"),
+    **spline("ahead", "known"),
+    **least_squares(),
+}
+
 ORACLES = {
     # sources
     "parse_eia_values": """SELECT date_trunc('hour', ts)::TIMESTAMP AS timestamp, value, 'EBA_' || upper(event_type) || '_D_H' AS series_id
@@ -328,6 +400,7 @@ ORACLES = {
         FROM (SELECT *, unnest(generate_series(forecast_time, coalesce(until - INTERVAL 1 HOUR, forecast_time), INTERVAL 1 HOUR)) AS moment
         FROM (SELECT *, lead(forecast_time) OVER o AS until, lead(temp_F) OVER o AS following FROM newest
         WINDOW o AS (PARTITION BY lat, lon ORDER BY forecast_time)))"""),
+    "upsample_cubic": sql(f"SELECT lat, lon, forecast_time, {r('temp_F', 'temp_F')} FROM cubic_hourly"),
     "future_frame": sql("""SELECT DISTINCT series_id, timestamp FROM demand UNION ALL
         SELECT series_id, last + CAST(n AS INTEGER) * INTERVAL 1 HOUR FROM (SELECT series_id, max(timestamp) AS last FROM demand GROUP BY 1), range(1, 37) steps(n)"""),
     # models
@@ -346,6 +419,17 @@ ORACLES = {
     "model_metrics": sql("SELECT * FROM metrics"),
     # forecast model
     "ols_univariate": sql(f"SELECT {r('regr_slope(value, temp_F)', 'slope', 4)}, {r('regr_intercept(value, temp_F)', 'intercept', 4)} FROM shipments"),
+    "ols_full": sql("SELECT * FROM (" + " UNION ALL ".join([
+        f"SELECT 'intercept' AS feature, {r('base', 'coefficient', 3)} FROM weights WHERE cutoff > TIMESTAMP '9000-01-01'",
+        *(f"SELECT '{f}', {r(f'w_{f}', 'coefficient', 3)} FROM weights WHERE cutoff > TIMESTAMP '9000-01-01'" for f in VARYING),
+        *(f"SELECT '{f}', 0.0::DOUBLE" for f in ("hour", "hour_squared", "hour_cubed")),
+    ]) + ")"),
+    "cv_full": sql(f"""SELECT temp_F, {CALENDAR.replace('ts', 'ds')}, temp_F * temp_F AS temp_F_squared, pow(hour(ds), 2)::DOUBLE AS hour_squared,
+        pow(hour(ds), 3)::DOUBLE AS hour_cubed, ds, y, {r(predicted('ds', 'temp_F'), 'yhat', 4)}, cutoff
+        FROM weights JOIN daily ON ds > cutoff AND ds <= cutoff + INTERVAL 10 DAY"""),
+    "batch_predict": sql(f"""SELECT lat, lon, forecast_time AS energy_timestamp_mtn, {r(predicted(local('forecast_time'), 'temp_F'), 'predicted_energy_demand', 4)},
+        {r('temp_F', 'temp_f_forecast')}, 'run-1' AS model_version, {AS_OF} AS prediction_start_date,
+        TIMESTAMP '2024-01-15 06:00:00' AS prediction_creation_date FROM ahead_hourly, weights WHERE cutoff > TIMESTAMP '9000-01-01'"""),
     "ols_predict": sql(f"""SELECT ts, temp_F, value, {r('base + slope * temp_F', 'predicted', 4)} FROM shipments,
         (SELECT regr_slope(value, temp_F) AS slope, regr_intercept(value, temp_F) AS base FROM shipments)"""),
     "cv_cutoffs": sql("SELECT cutoff FROM cuts"),

@@ -507,7 +507,8 @@ def ols_full(t):
     rows = featured_daily(t)
     model = regression.fit_ols(rows, training.FEATURES, "y")
     fitted = [("intercept", model.intercept), *zip(model.features, model.coefficients)]
-    return t.spark.createDataFrame(fitted, "feature string, coefficient double")
+    weights = t.spark.createDataFrame(fitted, "feature string, coefficient double")
+    return weights.withColumn("coefficient", F.round("coefficient", 3))
 
 
 @query
@@ -531,7 +532,8 @@ def cv_univariate(t):
 
 @query
 def cv_full(t):
-    return regression.cross_validate(featured_daily(t), "ds", training.FEATURES, "y", **CV)
+    folds = regression.cross_validate(featured_daily(t), "ds", training.FEATURES, "y", **CV)
+    return folds.withColumn("yhat", F.round("yhat", 4))
 
 
 def _logged_runs(t: Tables) -> DataFrame:
@@ -582,7 +584,7 @@ def batch_predict(t):
     )
     name, path = _table(t, "predictions")
     lake.publish_append(predicted, name, path)
-    return t.spark.table(name)
+    return t.spark.table(name).withColumn("predicted_energy_demand", F.round("predicted_energy_demand", 4))
 
 
 # Evaluation
