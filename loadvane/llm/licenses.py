@@ -49,8 +49,8 @@ PHRASES = (
     Template("reserved", ("all", "rights", "reserved"), True),
 )
 
-# Opening or standard sentences of public licenses and notices.
-NOTICES = {
+# Opening or standard sentences of public licenses and notices, one or several a label.
+NOTICES: dict[str, str | tuple[str, ...]] = {
     "apache-2.0": "Licensed under the Apache License, Version 2.0",
     "cc-by-4.0": "This work is licensed under a Creative Commons Attribution 4.0 International License",
     "cc-by-nc-4.0": "Licensed under CC BY-NC 4.0",
@@ -58,8 +58,11 @@ NOTICES = {
     "gpl-3.0": "This work is licensed under the GNU General Public License, version 3",
     "gpl-later": "This program is free software: you can redistribute it and/or modify it under the terms of the GNU "
     "General Public License as published by the Free Software Foundation",
-    "mit": "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and "
-    "associated documentation files, to deal in the Software without restriction",
+    "mit": (
+        "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and "
+        "associated documentation files, to deal in the Software without restriction",
+        "Released under the MIT License",
+    ),
     "bsd": "Redistribution and use in source and binary forms, with or without modification, are permitted provided "
     "that the following conditions are met",
     "isc": "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is "
@@ -125,7 +128,11 @@ def _pairs(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def scan(
-    df: DataFrame, phrases: Sequence[Template], notices: dict[str, str], id_col: str = "doc_id", text_col: str = "text"
+    df: DataFrame,
+    phrases: Sequence[Template],
+    notices: dict[str, str | tuple[str, ...]],
+    id_col: str = "doc_id",
+    text_col: str = "text",
 ) -> DataFrame:
     """id, n_words, n_base, first_word, last_word, base_labels, labels and score per row.
 
@@ -136,7 +143,8 @@ def scan(
     """
     spark = df.sparkSession
     templates = [*phrases]
-    for label, text in notices.items():
+    listed = [(label, text) for label, texts in notices.items() for text in ((texts,) if isinstance(texts, str) else texts)]
+    for label, text in listed:
         raw = bytes(_LOWER[np.frombuffer(text.encode(), np.uint8)])
         words = bytes(b if _KIND[b] else 32 for b in raw).decode().split()
         templates.append(Template(label, tuple(words), False))

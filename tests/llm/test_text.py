@@ -180,6 +180,20 @@ def brute_links(texts):
     return {(a, b) for i, a in enumerate(keys) for b in keys[i + 1 :] if len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])}
 
 
+def test_every_license_line_of_the_tables_is_labelled(spark, docs):
+    lines = {
+        "This work is licensed under the GNU General Public License, version 3.": "gpl,gpl-3.0",
+        "All rights reserved.": "reserved",
+        "Released under the MIT License.": "mit",
+        "Licensed under CC BY-NC 4.0.": "cc-by,cc-by-nc-4.0",
+        "Licensed under the Apache License, Version 2.0.": "apache-2.0",
+        "Released under the old bridge by the mit": "",
+    }
+    rows = [(i, f"Some words before.\n{line}\nAnd some after it.") for i, line in enumerate(lines)]
+    got = {r.doc_id: r.labels for r in licenses.scan(docs(rows), licenses.PHRASES, licenses.NOTICES).collect()}
+    assert [got[i] for i in range(len(lines))] == list(lines.values())
+
+
 def test_jaccard_join_equals_brute_force(spark, docs, monkeypatch):
     monkeypatch.setattr(jaccard, "SMALL", 6)  # so that splitting and blocks are reached
     monkeypatch.setattr(jaccard, "BLOCK", 20)
