@@ -63,7 +63,10 @@ def batch_predict(
     zone: str = MOUNTAIN,
     keys: Sequence[str] = (),
 ) -> DataFrame:
-    """Forecast known at ``start`` to hourly features to predictions, as one lazy plan."""
+    """Forecast known at ``start`` to hourly features to predictions.
+
+    The spline sorts its points into stored ranges when this is called; the rest is lazy.
+    """
     hourly = hourly_forecast(forecasts, start, zone, keys)
     scored = model.predict(make_features(hourly))
     return prediction_frame(scored, run_id, start, created, zone, keys=keys)
