@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-import os
-from collections.abc import Iterable
+from collections.abc import Callable, Hashable, Iterable
+from typing import Any
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -46,12 +46,38 @@ def ascii_lower(text: Column) -> Column:
     return F.translate(text, upper, upper.lower())
 
 
-def shared_uri(path: str) -> tuple[object, str]:
-    """A file system and the path in it for a folder named by path or URI."""
+def qualified(spark: SparkSession, path: str) -> str:
+    """A folder with the file system that Spark finds it in; for the driver only."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(where).toString()
+
+
+# Names that Hadoop gives to file systems which Arrow knows under others.
+_SCHEMES = {"s3a": "s3", "s3n": "s3", "abfs": "abfss"}
+
+
+def shared_uri(uri: str) -> tuple[object, str]:
+    """A file system and the path in it for a folder named by ``qualified``."""
     from pyarrow import fs
 
-    if "://" not in path and not path.startswith("file:"):
-        return fs.LocalFileSystem(), os.path.abspath(path)
-    if path.startswith("file:"):
-        return fs.LocalFileSystem(), "/" + path[5:].lstrip("/")
-    return fs.FileSystem.from_uri(path)
+    scheme, found, rest = uri.partition(":")
+    if not found or "/" in scheme:
+        raise ValueError(f"without a scheme it is not known which file system holds {uri}")
+    if scheme == "file":
+        return fs.LocalFileSystem(), "/" + rest.lstrip("/")
+    return fs.FileSystem.from_uri(f"{_SCHEMES.get(scheme, scheme)}:{rest}")
+
+
+_RESIDENT: dict[Hashable, Any] = {}
+
+
+def resident(key: Hashable, build: Callable[[], Any]) -> Any:
+    """A large object that a worker keeps between tasks, such as a vocabulary.
+
+    A worker holds one at a time: Spark goes on with the same workers from operator to
+    operator, and what the last one needed would stay beside what this one does.
+    """
+    if key not in _RESIDENT:
+        _RESIDENT.clear()
+        _RESIDENT[key] = build()
+    return _RESIDENT[key]

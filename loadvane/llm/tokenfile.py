@@ -29,12 +29,14 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from loadvane.llm.common import shared_uri
+from loadvane.llm.common import qualified, resident, shared_uri
+from loadvane.llm.hashing import in_steps
 from loadvane.session import fresh_dir, ship_package
 
 MAGIC = b"LVTF"
@@ -43,8 +45,8 @@ DOCUMENT = np.dtype([("id", "<i8"), ("null", "<u8"), ("ids", "<u8")])
 TRAILER = struct.Struct("<QQQI4s")
 #: Bytes of ids a frame holds at least, unless it is the last.
 FRAME_BYTES = 1 << 18
-#: Text pieces a worker remembers, and texts encoded in one step.
-REMEMBERED, STEP_ROWS = 500_000, 500
+#: Text pieces a worker remembers, and bytes of text encoded in one step.
+REMEMBERED, STEP = 500_000, 6_000_000
 
 
 class Encoder:
@@ -76,6 +78,8 @@ class Encoder:
         self.words: dict[str, list[int]] = {}
 
     def _parts(self, piece: str) -> tuple[str, ...]:
+        if not piece:
+            return ()
         body, sign = (piece[:-1], piece[-1]) if piece[-1] in ",." else (piece, "")
         if not body.isalpha():
             body, sign = piece, ""
@@ -90,30 +94,35 @@ class Encoder:
         words.update((w, [t.id for t in model.tokenize(w.lower().translate(self.spelling))]) for w in new if plain(w))
         other = [w for w in new if w not in words]
         words.update(zip(other, (e.ids for e in self.tokenizer.encode_batch_fast(other, add_special_tokens=False))))
-        lists = [words[p[0]] if len(p) == 1 else words[p[0]] + words[p[1]] for p in parts]
+        lists = [words[p[0]] if len(p) == 1 else [i for w in p for i in words[w]] for p in parts]
         count = np.array([len(x) for x in lists], np.int64)
         self.numbers.update(zip(fresh, range(len(self.numbers), len(self.numbers) + len(fresh))))
         self.begin = np.r_[self.begin, len(self.flat) + np.cumsum(count) - count]
         self.count = np.r_[self.count, count]
         self.flat = np.r_[self.flat, np.fromiter(chain.from_iterable(lists), np.uint32)]
 
-    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """All ids one after another and how many each text has."""
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """All ids one after another and how many each text has.
+
+        Texts are split and their pieces numbered by Arrow; only different pieces are looked up.
+        """
         if len(self.numbers) > REMEMBERED:
             self._forget()
-        pieces = [
-            list(filter(None, t.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" "))) for t in texts
-        ]
-        numbers = self.numbers
-        fresh = [p for p in dict.fromkeys(chain.from_iterable(pieces)) if p not in numbers]
+        spaced = pc.replace_substring_regex(texts.cast(pa.large_string()), "[\n\t\r]", " ")
+        lists = pc.split_pattern(spaced, " ")
+        coded = lists.flatten().dictionary_encode()
+        pieces, numbers = coded.dictionary.to_pylist(), self.numbers
+        # two blanks in a row have an empty piece between them, which has no ids
+        fresh = [p for p in pieces if p not in numbers]
         if fresh:
             self._learn(fresh)
-        used = np.fromiter(map(numbers.__getitem__, chain.from_iterable(pieces)), np.int64)
+        known = np.fromiter(map(numbers.__getitem__, pieces), np.int64, len(pieces))
+        used = known[coded.indices.to_numpy()]
         counts = self.count[used]
         upto = np.r_[0, np.cumsum(counts)]
         where = np.repeat(self.begin[used] - upto[:-1], counts) + np.arange(int(upto[-1]))
-        ends = upto[np.cumsum([0, *map(len, pieces)])]
-        return self.flat[where], np.diff(ends)
+        offsets = lists.offsets.to_numpy()
+        return self.flat[where], np.diff(upto[offsets - offsets[0]])
 
 
 class FileWriter:
@@ -207,10 +216,10 @@ def write_tokens(
     """
     spark = docs.sparkSession
     ship_package(spark)
-    folder, listed = fresh_dir(spark, "token-files"), fresh_dir(spark, "token-list")
+    folder, listed = qualified(spark, fresh_dir(spark, "token-files")), fresh_dir(spark, "token-list")
     ordered = (
         docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-        .withColumn("tie", F.xxhash64("text"))
+        .withColumns({"tie": F.xxhash64("text"), "size": F.octet_length("text").cast("long")})
         .repartitionByRange(parts, F.col("id").asc_nulls_first(), "tie")
         .sortWithinPartitions(F.col("id").asc_nulls_first(), "tie")
     )
@@ -222,13 +231,12 @@ def write_tokens(
         system, where = shared_uri(f"{folder}/{name}")
         writer = out = None
         for whole in batches:
-            for start in range(0, whole.num_rows, STEP_ROWS):
-                batch = whole.slice(start, STEP_ROWS)
+            for batch in in_steps(whole, "size", STEP):
                 if writer is None:
                     system.create_dir(os.path.dirname(where), recursive=True)
                     out = system.open_output_stream(where)
                     writer = FileWriter(out)
-                ids, counts = encoder.encode(batch.column("text").to_pylist())
+                ids, counts = encoder.encode(batch.column("text"))
                 ends = np.cumsum(counts)
                 ids = np.insert(ids, ends, end_id)
                 doc = batch.column("id")
@@ -244,13 +252,8 @@ def write_tokens(
     return TokenFiles(folder, listed)
 
 
-_ENCODERS: dict[str, Encoder] = {}
-
-
 def _encoder(path: str) -> Encoder:
-    if path not in _ENCODERS:
-        _ENCODERS[path] = Encoder(path)
-    return _ENCODERS[path]
+    return resident(("tokens", path), lambda: Encoder(path))
 
 
 def read_tokens(spark: SparkSession, files: TokenFiles, only: list[int] | None = None) -> DataFrame:
