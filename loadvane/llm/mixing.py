@@ -142,7 +142,7 @@ def mix(
     """
     added = ["size", "source_size", "target", "repeats"]
     kept = [c for c in docs.columns if c.lower() not in added]
-    key, mark = free_name(docs.columns, "source_key"), free_name(docs.columns, "mark")
+    key, mark, cut = (free_name([*docs.columns, *added], n) for n in ("source_key", "mark", "cut"))
     sized = docs.select(
         *kept,
         word_count(F.col(text_col)).alias("size"),
@@ -177,16 +177,18 @@ def mix(
     state = _prefix_cut(units, need).withColumn("added", F.array().cast("array<string>"))
     for _ in range(2):
         state = _nearest(units, state)
+    # one column beside those of the documents, whatever their names are
     plan = targets.join(state, "source_key", "left").select(
-        F.col("source_key").alias(key), "source_size", "target", "whole", "prefix", "added"
+        F.col("source_key").alias(key), F.struct("source_size", "target", "whole", "prefix", "added").alias(cut)
     )
-    extra = (F.col(mark) < F.col("prefix")) | F.array_contains("added", F.col(mark))
+    plan_of = lambda name: F.col(f"{cut}.{name}")
+    extra = (F.col(mark) < plan_of("prefix")) | F.array_contains(plan_of("added"), F.col(mark))
     return sized.join(plan, key).select(
         *kept,
         "size",
-        "source_size",
-        "target",
-        (F.col("whole") + F.when(extra, 1).otherwise(0)).cast("int").alias("repeats"),
+        plan_of("source_size").alias("source_size"),
+        plan_of("target").alias("target"),
+        (plan_of("whole") + F.when(extra, 1).otherwise(0)).cast("int").alias("repeats"),
     )
 
 
