@@ -26,14 +26,14 @@ import re
 import uuid
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, field
-from functools import lru_cache, reduce
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from loadvane.llm.common import octets, store
+from loadvane.llm.common import octets, resident, store
 from loadvane.session import ship_package
 
 #: Bytes of a range of a long text, fragments composed at once, bytes encoded in one step and
@@ -128,10 +128,9 @@ def _byte_letters() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(rest)}
 
 
-@lru_cache(maxsize=1)
 def tokenizers(files: Files) -> Tokenizers:
-    """The tokenizers of a worker; those of one pair of files are held at a time."""
-    return Tokenizers(files)
+    """The tokenizers of a pair of files, read once per worker."""
+    return resident(("alignment", files), lambda: Tokenizers(files))
 
 
 @dataclass

@@ -12,21 +12,22 @@ from __future__ import annotations
 
 import base64
 from collections.abc import Iterator
+from hashlib import sha256
 from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from loadvane.llm.common import free_name
+from loadvane.llm.common import resident
 from loadvane.session import ship_package
 
 WIDE = 64
 #: Bytes of text that one step holds as pieces, and pieces that a worker remembers.
-STEP, REMEMBERED = 1_000_000, 600_000
+STEP, REMEMBERED = 500_000, 250_000
 NONE = np.int32(2**31 - 1)
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
@@ -270,18 +271,30 @@ class Vocabulary:
         return out, ends
 
 
-_LOADED: dict[tuple[str, str], Vocabulary] = {}
-
-
 def vocabulary(path: str, pattern: str) -> Vocabulary:
     """The vocabulary of a path, read once per worker."""
-    if (path, pattern) not in _LOADED:
-        _LOADED[path, pattern] = Vocabulary(path, pattern)
-    return _LOADED[path, pattern]
+    return resident(("bpe", path, pattern), lambda: Vocabulary(path, pattern))
+
+
+def _steps(batch: pa.RecordBatch, text_col: str) -> Iterator[tuple[pa.RecordBatch, list[str]]]:
+    """Slices of about STEP bytes of text, or single rows, with their texts; null is empty."""
+    sizes = pc.fill_null(pc.binary_length(batch.column(text_col)), 0).to_numpy(zero_copy_only=False)
+    upto = np.cumsum(sizes, dtype=np.int64)
+    start = 0
+    while start < len(sizes):
+        held = int(upto[start] - sizes[start])
+        stop = max(start + 1, int(np.searchsorted(upto, held + STEP, "right")))
+        part = batch.slice(start, stop - start)
+        yield part, [text or "" for text in part.column(text_col).to_pylist()]
+        start = stop
 
 
-def _with_column(batch: pa.RecordBatch, keep: list[str], values: pa.Array, name: str) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([*[batch.column(c) for c in keep], values], names=[*keep, name])
+def _lists(ids: np.ndarray, ends: np.ndarray) -> pa.Array:
+    return pa.ListArray.from_arrays(pa.array(np.r_[0, ends].astype(np.int32)), pa.array(ids, pa.int32()))
+
+
+def _with_columns(batch: pa.RecordBatch, keep: list[str], values: dict[str, pa.Array]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([*[batch.column(c) for c in keep], *values.values()], names=[*keep, *values])
 
 
 def encode(
@@ -298,12 +311,9 @@ def encode(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocab = vocabulary(path, pattern)
-        for whole in batches:
-            for start in range(0, max(1, whole.num_rows), 500):
-                batch = whole.slice(start, 500)
-                ids, ends = vocab.encode([x or "" for x in batch.column(text_col).to_pylist()])
-                offsets = pa.array(np.r_[0, ends].astype(np.int32))
-                yield _with_column(batch, keep, pa.ListArray.from_arrays(offsets, pa.array(ids, pa.int32())), into)
+        for batch in batches:
+            for part, texts in _steps(batch, text_col):
+                yield _with_columns(part, keep, {into: _lists(*vocab.encode(texts))})
 
     return df.select(*keep, text_col).mapInArrow(run, schema)
 
@@ -327,18 +337,45 @@ def decode(df: DataFrame, path: str, pattern: str, ids_col: str = "ids", into: s
                 values = pa.BinaryArray.from_buffers(
                     pa.binary(), batch.num_rows, [None, pa.py_buffer(marks.astype(np.int32)), pa.py_buffer(raw)]
                 )
-                yield _with_column(batch, keep, values, into)
+                yield _with_columns(batch, keep, {into: values})
 
     return df.mapInArrow(run, schema)
 
 
-def digest(df: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Per document the number of ids and digests of the ids and of the decoded bytes."""
-    ids, back = free_name(df.columns, "ids"), free_name(df.columns, "decoded")
-    both = decode(encode(df, path, pattern, text_col, ids, [id_col]), path, pattern, ids, back)
-    return both.select(
-        F.col(id_col),
-        F.size(ids).cast("long").alias("n_tokens"),
-        F.sha2(F.concat_ws(" ", F.col(ids).cast("array<string>")).cast("binary"), 256).alias("ids_sha256"),
-        F.sha2(F.col(back), 256).alias("decoded_sha256"),
-    )
+def digest(
+    df: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text", keep_ids: bool = False
+) -> DataFrame:
+    """Per document the number of ids, digests of the ids and of the bytes they decode to.
+
+    Texts are encoded, decoded again and digested in one pass, so a task has one worker with one
+    vocabulary. ``keep_ids`` adds the ids themselves. A null text is an empty one; every row
+    gives one row.
+    """
+    ship_package(df.sparkSession)
+    sums = {"n_tokens": T.LongType(), "ids_sha256": T.StringType(), "decoded_sha256": T.StringType()}
+    schema = T.StructType([df.schema[id_col], *(T.StructField(c, kind) for c, kind in sums.items())])
+    if keep_ids:
+        schema = schema.add("ids", T.ArrayType(T.IntegerType(), False))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        vocab = vocabulary(path, pattern)
+        for batch in batches:
+            for part, texts in _steps(batch, text_col):
+                ids, ends = vocab.encode(texts)
+                raw, byte_ends = vocab.decode(ids)
+                raw, upto = memoryview(raw), np.r_[0, byte_ends]
+                of_ids, of_bytes, begin = [], [], 0
+                for end in ends.tolist():
+                    of_ids.append(sha256(b" ".join(map(b"%d".__mod__, ids[begin:end].tolist()))).hexdigest())
+                    of_bytes.append(sha256(raw[upto[begin] : upto[end]]).hexdigest())
+                    begin = end
+                values = {
+                    "n_tokens": pa.array(np.diff(ends, prepend=0), pa.int64()),
+                    "ids_sha256": pa.array(of_ids, pa.string()),
+                    "decoded_sha256": pa.array(of_bytes, pa.string()),
+                }
+                if keep_ids:
+                    values["ids"] = _lists(ids, ends)
+                yield _with_columns(part, [id_col], values)
+
+    return df.select(id_col, text_col).mapInArrow(run, schema)

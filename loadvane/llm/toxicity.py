@@ -26,6 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from loadvane.llm.common import resident
 from loadvane.session import ship_package
 
 LENGTH, DECAY = 3, 0.8
@@ -384,10 +385,15 @@ def _logistic(margin: np.ndarray, toxic: np.ndarray) -> tuple[float, float]:
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Model:
     """A model from at most TOXIC and CLEAN labelled rows (id, toxic 0/1) in the order of a hash.
 
-    Rows without a label or an id are not learned from, nor are texts above TRAIN_BYTES. Only
+    Rows without a label or an id are not learned from, nor are texts above TRAIN_BYTES. Of an
+    id with several labels the toxic one counts, of one with several texts the smallest. Only
     the sampled ids, a bounded table, are broadcast.
     """
-    known = labels.where(F.col("id").isNotNull() & F.col("toxic").isNotNull()).select("id", (F.col("toxic") == 1).alias("toxic"))
+    known = (
+        labels.where(F.col("id").isNotNull() & F.col("toxic").isNotNull())
+        .groupBy("id")
+        .agg((F.max("toxic") == 1).alias("toxic"))
+    )
     taken = [
         known.where(F.col("toxic") == kind).orderBy(F.xxhash64("id"), "id").limit(most) for kind, most in ((True, TOXIC), (False, CLEAN))
     ]
@@ -395,15 +401,15 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
         docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
         .where(F.octet_length("text") <= TRAIN_BYTES)
         .join(F.broadcast(taken[0].unionByName(taken[1])), "id")
+        # one row per id, however often it is repeated
+        .groupBy("id", "toxic")
+        .agg(F.min("text").alias("text"))
         .toPandas()
         .sort_values(["id", "text"])
     )
     return fit(rows["text"].tolist(), rows["toxic"].to_numpy(bool))
 
 
-_WORDS: dict[tuple[str, ...], Words] = {}
-
-
 def score(df: DataFrame, model: Model, keep: dict[str, Column], text_col: str = "text") -> DataFrame:
     """The ``keep`` columns and the score (0 to 1) of every row's whole text; null is empty."""
     ship_package(df.sparkSession)
@@ -412,11 +418,7 @@ def score(df: DataFrame, model: Model, keep: dict[str, Column], text_col: str =
     fields = [f for f in source.schema.fields if f.name in names]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key = tuple(model.landmarks)
-        if key not in _WORDS:
-            _WORDS.clear()
-            _WORDS[key] = Words(model.landmarks)
-        words = _WORDS[key]
+        words = resident(("toxicity", *model.landmarks), lambda: Words(model.landmarks))
         for batch in batches:
             texts = batch.column("scored text").to_pylist()
             margins, start = [np.zeros(0)], 0
