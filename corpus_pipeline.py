@@ -20,10 +20,14 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents whose toxicity is below the bound of the toxicity query."""
+    """The documents whose toxicity is below the bound of the toxicity query.
+
+    Null and empty texts are scored as empty ones and stay; equal rows stay or go together.
+    """
     model = train_toxicity(spark, sf_dir)
-    scored = toxicity.score(docs, model, {c: F.col(c) for c in docs.columns})
-    return scored.where(F.col("score") < TOXIC_SCORE).select(*docs.columns)
+    # the row travels as one column, so that no name of it meets one of the score
+    scored = toxicity.score(docs, model, {"row": F.struct(*docs.columns)})
+    return scored.where(F.col("score") < TOXIC_SCORE).select("row.*")
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -32,14 +36,22 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every document as often as the mix of its source takes it, sources weighing 3, 1, 2, ..."""
+    """Every document as often as the mix of its source takes it, sources weighing 3, 1, 2, ...
+
+    The null source is one source; a document without words is never taken in part, and a source
+    without words not at all.
+    """
     weights = mixing.cyclic_weights(docs.select("source").distinct(), SOURCE_WEIGHTS)
-    return mixing.repeated(mixing.mix(docs, weights, share=1.5, max_epochs=2.0)).select(*docs.columns)
+    rows = docs.select(F.struct(*docs.columns).alias("row"), "doc_id", "text", "source")
+    return mixing.repeated(mixing.mix(rows, weights, share=1.5, max_epochs=2.0)).select("row.*")
 
 
 def encode_texts(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Per document its ids as one array, and digests of the ids and of what they decode to."""
-    return bpe.digest(docs, public_tokenizers.path(RANKS), public_tokenizers.PATTERN)
+    """Per document its ids as one array, their number, and digests of them and of their bytes.
+
+    Null and empty texts have no ids; every row gives one row.
+    """
+    return bpe.digest(docs, public_tokenizers.path(RANKS), public_tokenizers.PATTERN, keep_ids=True)
 
 
 STAGES: list[tuple[str, Stage]] = [
