@@ -379,7 +379,8 @@ ORACLES = {
         f"count(*) FILTER ({c} IS NULL) AS {c}"
         for c in ("temp_timestamp_mtn", "energy_timestamp_mtn", "energy_demand", "demand_units", "series_name", "temp_F",
                   "temp_C", "temp_location_lat", "temp_location_lon", "temp_source", "date_energy_updated")) + " FROM joined"),
-    "rows_with_null": sql("SELECT * FROM station_obs WHERE temperature_degC IS NULL"),
+    "rows_with_null": sql("SELECT * FROM joined WHERE temp_F IS NULL"),
+    "null_observations": sql("SELECT * FROM station_obs WHERE temperature_degC IS NULL"),
     "error_histogram": sql(f"""SELECT bin::INTEGER AS bin, {r('lo + (hi - lo) / 20 * (bin - 1)', 'bin_low')}, {r('lo + (hi - lo) / 20 * bin', 'bin_high')},
         coalesce(n, 0) AS n FROM (SELECT min(energy_error) AS lo, max(energy_error) AS hi FROM metrics), range(1, 21) bins(bin)
         LEFT JOIN (SELECT least(CAST(floor((energy_error - lo) / (hi - lo) * 20) AS BIGINT) + 1, 20) AS bin, count(*) AS n FROM metrics,
