@@ -79,6 +79,20 @@ def test_quantiles_of_a_hot_key_with_ties(spark):
     assert overall.m == pytest.approx(np.median(pdf["v"])) and overall.n == len(pdf)
 
 
+def test_quantiles_sort_no_rows_by_their_group(spark, monkeypatch):
+    plans, settle = {}, quantiles.settle
+
+    def settled(df, label):
+        plans[label] = df._jdf.queryExecution().executedPlan().toString()
+        return settle(df, label)
+
+    monkeypatch.setattr(quantiles, "settle", settled)
+    df = spark.range(3_000_000).select((F.col("id") % 2).alias("k"), F.col("id").cast("double").alias("v"))
+    got = quantiles.exact_quantiles(df, ["k"], "v", {"m": 0.5}).collect()
+    assert {r.k: r.m for r in got} == {0: 1_499_999.0, 1: 1_500_000.0}
+    assert "BroadcastHashJoin" in plans["quantile-slices"] and "SortMergeJoin" not in plans["quantile-slices"]
+
+
 def test_profile_skips_missing_values_and_keys(spark):
     df = spark.createDataFrame([(1, 1.0), (1, None), (None, 5.0), (1, 3.0)], "k int, v double")
     rows = profiles.profile(df, {"k": F.col("k")}, "v").collect()
