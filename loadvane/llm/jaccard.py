@@ -7,7 +7,8 @@ expected to choose RUNS tokens in common, one for each repetition of the method:
 most exp(-RUNS), which the target recall fixes. Sets that chose a token are a bucket. Small
 buckets are compared pair by pair. Large ones are split by further tokens, chosen by a hash of
 the path so far, unless their sets are alike throughout; what is still large at the end is
-compared block by block.
+compared block by block. Buckets of the same sets, as a line that many texts share makes them,
+are one at every level, so a bucket that does not shrink does not multiply either.
 
 Equal texts are one set. Candidates are pruned by size and by sketch, with bounds six standard
 deviations off, and then verified on the full sets, which are built again from the texts that
@@ -33,8 +34,9 @@ from loadvane.session import ship_package
 WORDS, THRESHOLD = 5, 0.8
 #: Target recall of one level, hashes of a sketch, and those that prune pairs.
 RECALL, SKETCH, HEAD = 0.999995, 128, 32
-#: Largest bucket compared pair by pair, levels of splitting, expected common tokens of a split.
-SMALL, LEVELS, SPLIT = 32, 4, 3.0
+#: Largest bucket compared pair by pair, levels of splitting, expected common tokens of a split,
+#: and how many buckets of the same sets count at most for that number.
+SMALL, LEVELS, SPLIT, TRIES = 32, 4, 3.0, 4
 #: Mean overlap of the first ALIKE_HEAD hashes from which a bucket is not split any further.
 ALIKE, ALIKE_HEAD = 0.5, 16
 BLOCK, BYTES = 1_000, 2_000_000
@@ -76,9 +78,16 @@ def _fraction(hash_bits: Column) -> Column:
 
 
 def _bucketed(rows: DataFrame) -> DataFrame:
-    """Rows of buckets with at least two sets, with the bucket's size."""
-    sizes = rows.groupBy("path").agg(F.count("*").alias("held")).where(F.col("held") > 1)
-    return rows.join(sizes, "path")
+    """Rows of buckets with at least two sets, with the bucket's size, each of the buckets once.
+
+    Buckets of the same sets are one; ``tries`` is their number. Two sums of 32 bits of the keys'
+    hashes tell which are the same.
+    """
+    bits = F.xxhash64("key")
+    sums = [F.sum(half.bitwiseAND(0xFFFFFFFF)).alias(name) for half, name in ((bits, "low"), (F.shiftright(bits, 32), "high"))]
+    sizes = rows.groupBy("path").agg(F.count("*").alias("held"), *sums).where(F.col("held") > 1)
+    once = sizes.groupBy("held", "low", "high").agg(F.min("path").alias("path"), F.count("*").alias("tries"))
+    return rows.join(once.select("path", "held", "tries"), "path")
 
 
 def _small_pairs(rows: DataFrame) -> DataFrame:
@@ -254,16 +263,18 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         if depth == LEVELS:
             large.append(wide.select("path", "key"))
             break
-        alike = _alike(wide)
+        alike = store(_alike(wide), "near-alike")
         large.append(wide.join(alike, "path", "left_semi").select("path", "key"))
-        rest = wide.join(alike, "path", "left_anti").select("path", "key")
-        share = F.lit(SPLIT / THRESHOLD) / F.least(F.col("n"), F.lit(SKETCH))
-        level = (
+        rest = wide.join(alike, "path", "left_anti").select("path", "key", "tries")
+        # one bucket is split for all of its sets, so as often as they would be
+        tokens = F.lit(SPLIT / THRESHOLD) * F.least("tries", F.lit(TRIES))
+        share = tokens / F.least(F.col("n"), F.lit(SKETCH))
+        level = store(
             rest.join(sets.select("key", "n", "hashes"), "key")
-            .select("path", "key", "n", F.explode("hashes").alias("token"))
-            .withColumn("path", F.xxhash64("path", "token"))
-            .where(_fraction(F.xxhash64("path").bitwiseAND(0xFFFFFFFF)) < share)
-            .select("path", "key")
+            .withColumn("paths", F.transform("hashes", lambda token: F.xxhash64("path", token)))
+            .withColumn("paths", F.filter("paths", lambda p: _fraction(F.xxhash64(p).bitwiseAND(0xFFFFFFFF)) < share))
+            .select(F.explode("paths").alias("path"), "key"),
+            "near-split",
         )
     big = large[0]
     for more in large[1:]:

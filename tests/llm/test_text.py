@@ -260,3 +260,22 @@ def test_toxicity_learns_and_scores(spark, docs):
     assert got[900] == got[901] < 0.3 and got[902] < 0.3 and got[903] > got[900]
     empty = toxicity.train(table, known.limit(0))
     assert {r.score for r in toxicity.score(table, empty, {"doc_id": F.col("doc_id")}).collect()} == {0.5}
+
+
+def test_a_bucket_that_does_not_shrink_is_split_but_once(docs, monkeypatch):
+    stored, wide = jaccard.store, []
+
+    def counted(df, label):
+        out = stored(df, label)
+        if label == "near-level":
+            wide.append(out.where(F.col("held") > jaccard.SMALL).count())
+        return out
+
+    monkeypatch.setattr(jaccard, "store", counted)
+    line = " ".join(f"line{i}" for i in range(30))
+    own = [" ".join(f"own{k}x{i}" for i in range(60)) for k in range(70)]
+    rows = [(k, f"{line} {text}") for k, text in enumerate(own)] + [(70, f"{line} {own[7]} more")]
+    found = {r.doc_id: (r.class_id, r.n_links) for r in jaccard.near_duplicates(docs(rows)).collect()}
+    assert found == {k: (k, 0) for k in range(70)} | {7: (7, 1), 70: (7, 1)}
+    # the shared line makes the same bucket again and again, which is one at every level
+    assert wide[0] > 0 and max(wide) <= 2 * len(rows)
