@@ -45,22 +45,23 @@ DOCUMENT = np.dtype([("id", "<i8"), ("null", "<u8"), ("ids", "<u8")])
 TRAILER = struct.Struct("<QQQI4s")
 #: Bytes of ids a frame holds at least, unless it is the last.
 FRAME_BYTES = 1 << 18
-#: Text pieces a worker remembers, and bytes of text encoded in one step.
-REMEMBERED, STEP = 500_000, 6_000_000
+#: Text pieces a worker remembers, bytes of text encoded in one step, new pieces encoded together.
+REMEMBERED, STEP, TOGETHER = 400_000, 4_000_000, 4_096
 
 
 class Encoder:
     """A tokenizer file with a memory of the pieces between blanks.
 
     Blanks are characters that the tokenizer drops, so that no token crosses them: a text's ids
-    are those of its pieces one after another. A piece of letters with one comma or full stop
-    behind, and the case of ASCII letters, need no encoding of their own for this tokenizer,
-    which lowers the case and cuts between letters and signs. Of a word of Latin letters its
+    are those of its pieces one after another. This tokenizer lowers the case and cuts between
+    letters and signs, so ASCII letters are lowered and Latin ones parted from a comma or full
+    stop behind them first, which leaves fewer different pieces. Of a word of Latin letters its
     normaliser and splitter make one piece, so that goes to the library's model at once, spelled
     in the characters by which the tokenizer writes bytes.
     """
 
     LETTERS = re.compile("[A-Za-zÀ-ÖØ-öø-ÿ]+")
+    BEFORE_SIGN = "([a-zÀ-ÖØ-öø-ÿ])([,.])"
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
@@ -75,28 +76,18 @@ class Encoder:
         self.numbers: dict[str, int] = {}
         self.begin, self.count = np.zeros(0, np.int64), np.zeros(0, np.int64)
         self.flat = np.zeros(0, np.uint32)
-        self.words: dict[str, list[int]] = {}
-
-    def _parts(self, piece: str) -> tuple[str, ...]:
-        if not piece:
-            return ()
-        body, sign = (piece[:-1], piece[-1]) if piece[-1] in ",." else (piece, "")
-        if not body.isalpha():
-            body, sign = piece, ""
-        body = body.lower() if body.isascii() else body
-        return (body, sign) if sign else (body,)
 
     def _learn(self, fresh: list[str]) -> None:
-        parts = [self._parts(p) for p in fresh]
-        words = self.words
-        new = [w for w in dict.fromkeys(chain.from_iterable(parts)) if w not in words]
-        model, plain = self.tokenizer.model, self.LETTERS.fullmatch
-        words.update((w, [t.id for t in model.tokenize(w.lower().translate(self.spelling))]) for w in new if plain(w))
-        other = [w for w in new if w not in words]
-        words.update(zip(other, (e.ids for e in self.tokenizer.encode_batch_fast(other, add_special_tokens=False))))
-        lists = [words[p[0]] if len(p) == 1 else [i for w in p for i in words[w]] for p in parts]
-        count = np.array([len(x) for x in lists], np.int64)
-        self.numbers.update(zip(fresh, range(len(self.numbers), len(self.numbers) + len(fresh))))
+        tokenize, spelling = self.tokenizer.model.tokenize, self.spelling
+        plain = list(filter(self.LETTERS.fullmatch, fresh))
+        other = [p for p in fresh if not self.LETTERS.fullmatch(p)]
+        # pure ASCII is spelled as it is
+        lists = [[t.id for t in tokenize(w if w.isascii() else w.lower().translate(spelling))] for w in plain]
+        for first in range(0, len(other), TOGETHER):
+            some = other[first : first + TOGETHER]
+            lists += [e.ids for e in self.tokenizer.encode_batch_fast(some, add_special_tokens=False)]
+        count = np.fromiter(map(len, lists), np.int64, len(lists))
+        self.numbers.update(zip(chain(plain, other), range(len(self.numbers), len(self.numbers) + len(fresh))))
         self.begin = np.r_[self.begin, len(self.flat) + np.cumsum(count) - count]
         self.count = np.r_[self.count, count]
         self.flat = np.r_[self.flat, np.fromiter(chain.from_iterable(lists), np.uint32)]
@@ -109,7 +100,9 @@ class Encoder:
         if len(self.numbers) > REMEMBERED:
             self._forget()
         spaced = pc.replace_substring_regex(texts.cast(pa.large_string()), "[\n\t\r]", " ")
-        lists = pc.split_pattern(spaced, " ")
+        # ascii_lower garbles slices of an array; what the replacement returns is none
+        parted = pc.replace_substring_regex(pc.ascii_lower(spaced), self.BEFORE_SIGN, r"\1 \2")
+        lists = pc.split_pattern(parted, " ")
         coded = lists.flatten().dictionary_encode()
         pieces, numbers = coded.dictionary.to_pylist(), self.numbers
         # two blanks in a row have an empty piece between them, which has no ids
@@ -120,7 +113,8 @@ class Encoder:
         used = known[coded.indices.to_numpy()]
         counts = self.count[used]
         upto = np.r_[0, np.cumsum(counts)]
-        where = np.repeat(self.begin[used] - upto[:-1], counts) + np.arange(int(upto[-1]))
+        where = np.repeat(self.begin[used] - upto[:-1], counts)
+        where += np.arange(len(where))
         offsets = lists.offsets.to_numpy()
         return self.flat[where], np.diff(upto[offsets - offsets[0]])
 

@@ -6,6 +6,7 @@ import random
 import zlib
 
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import tiktoken
 from pyspark.sql import functions as F
@@ -279,3 +280,22 @@ def test_a_bucket_that_does_not_shrink_is_split_but_once(docs, monkeypatch):
     assert found == {k: (k, 0) for k in range(70)} | {7: (7, 1), 70: (7, 1)}
     # the shared line makes the same bucket again and again, which is one at every level
     assert wide[0] > 0 and max(wide) <= 2 * len(rows)
+
+
+def test_token_encoder_parts_letters_from_signs_in_slices(monkeypatch):
+    path = public_tokenizers.path("word_bpe_49k.json")
+    rng = random.Random(5)
+    marks = ["a,", "A.", "b.)", "Ünï,", "É", "don't.", "x1,y", "ß.", "İ", "Σς,", "é.", "K,", "..", " ", "\n", "\t"]
+    texts = [*(t or "" for t in ODD), *("".join(rng.choices([*marks, " ", "Word", "word,"], k=30)) for _ in range(200))]
+    plain = Tokenizer.from_file(path)
+    encoder = tokenfile.Encoder(path)
+    monkeypatch.setattr(tokenfile, "REMEMBERED", 50)
+    for first in range(0, len(texts), 17):
+        ids, counts = encoder.encode(pa.array(texts).slice(first, 17))
+        wanted = [plain.encode(t, add_special_tokens=False).ids for t in texts[first : first + 17]]
+        assert counts.tolist() == [len(x) for x in wanted]
+        assert ids.tolist() == [i for x in wanted for i in x]
+    # forms that differ in case or in a sign behind are one piece
+    encoder._forget()
+    encoder.encode(pa.array(["Table table, TABLE. table"]))
+    assert set(encoder.numbers) == {"table", ",", "."}
