@@ -36,7 +36,7 @@ LEAST, TIMES = 24, 3
 MODULUS = 31
 COVER = np.array([1, 5, 11, 24, 25, 27])
 #: Bytes of text of one step, and grid points and extensions handled at once.
-_BYTES, _POINTS, _PAIRS = 1_500_000, 2_000_000, 500_000
+_BYTES, _POINTS, _PAIRS = 1_500_000, 250_000, 100_000
 
 
 def _meeting() -> np.ndarray:

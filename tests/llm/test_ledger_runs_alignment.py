@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import tracemalloc
 import zlib
 from collections import Counter
 from fractions import Fraction
@@ -268,3 +269,17 @@ def test_alignment_of_no_rows(spark, docs):
     empty = alignment.align(docs([(1, None), (2, "")]), FILES).collect()
     assert all(r.n_a == r.n_links == r.count_sum == 0 and r.groups_sha256 == "" for r in empty) and len(empty) == 2
     assert alignment.align(docs([]), FILES).schema["count_sum"].dataType == T.LongType()
+
+
+def test_grid_of_periods_is_probed_in_bounded_memory():
+    rng = np.random.default_rng(8)
+    size = np.full(40, 5_000)
+    words = rng.integers(0, 30_000, size.sum())
+    words[7_000:7_900] = np.tile(words[7_000:7_300], 3)
+    tracemalloc.start()
+    found = periodic.find_runs(words, size)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert [1, 2_000, 900, 300] in found.tolist()
+    # about ten numbers per grid point at once, of a part of the points
+    assert peak < 60e6
