@@ -299,3 +299,27 @@ def test_token_encoder_parts_letters_from_signs_in_slices(monkeypatch):
     encoder._forget()
     encoder.encode(pa.array(["Table table, TABLE. table"]))
     assert set(encoder.numbers) == {"table", ",", "."}
+
+
+def test_likeness_of_a_bucket_takes_no_row_per_token(spark, monkeypatch):
+    rng = random.Random(6)
+    common = rng.sample(range(-(2**31), 2**31), 32)
+    own = [rng.sample(range(-(2**31), 2**31), 32) for _ in range(200)]
+    # sets of path 1 are the same, those of 2 differ, those of 3 share a quarter, those of 4 have one token
+    heads = {1: [common] * 200, 2: own, 3: [common[:4] + x[4:] for x in own], 4: [[7]] * 200}
+    rows = [(path, len(sets), sets_head) for path, sets in heads.items() for sets_head in sets]
+    df = spark.createDataFrame(rows, "path long, held long, head array<int>").repartition(5)
+    made, signed = [], jaccard._signed
+
+    def counted(rows):
+        out = signed(rows)
+        made.append(out.count())
+        return out
+
+    monkeypatch.setattr(jaccard, "_signed", counted)
+    alike = jaccard._alike(df)
+    assert sorted(r.path for r in alike.collect()) == [1, 4]
+    # a row per bucket and batch, not per set or token
+    assert made[0] <= 4 * 5
+    assert "Generate" not in alike._jdf.queryExecution().toString()
+    assert jaccard._alike(df.where("path < 0")).count() == 0
